@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,3 +53,49 @@ def remainder(doc_id: str, modulus: int) -> Column:
 def words_of(text: bytes) -> list[bytes]:
     """Words of a text whose A-Z are lower-cased: maximal runs without ASCII white space."""
     return text.lower().split()
+
+
+def _separators(marks: bytes) -> bytes:
+    return bytes(0x20 if b in WHITE or b in marks else b + 32 if 65 <= b <= 90 else b for b in range(256))
+
+
+#: Byte tables that lower-case A-Z and turn white space (and ASCII punctuation) into blanks.
+SPACES = _separators(b"")
+SPACES_AND_MARKS = _separators(bytes(b for b in range(33, 127) if not chr(b).isalnum()))
+_BASE = 0x9E3779B97F4A7C15
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def word_hashes(texts: list[bytes], table: bytes = SPACES) -> tuple[np.ndarray, np.ndarray]:
+    """Odd 64-bit hashes of all words of some texts, in order, and where each text's words begin (one more entry than texts).
+
+    A word's hash is a polynomial in its bytes, taken as the difference of two running sums over all bytes."""
+    data = np.frombuffer((b" ".join(texts) + b" ").translate(table), np.uint8)
+    inside = np.concatenate([[False], data != 0x20])
+    starts, ends = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
+    if len(_powers[0]) < len(data):
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(len(data) * 5 // 4, base, np.uint64)
+            steps[0] = 1
+            _powers[k] = np.cumprod(steps, dtype=np.uint64)
+    running = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data + np.uint64(1)) * _powers[0][: len(data)], dtype=np.uint64)])
+    h = (running[ends] - running[starts]) * _powers[1][starts]
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(29)
+    offsets = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return h | np.uint64(1), np.searchsorted(starts, offsets)
+
+
+def portions(texts: Sequence[bytes], most: int = 1 << 20) -> Iterator[list[bytes]]:
+    """Consecutive texts of about `most` bytes together, so that work arrays stay small; a longer text stands alone."""
+    part: list[bytes] = []
+    size = 0
+    for text in texts:
+        if part and size + len(text) > most:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += len(text)
+    if part:
+        yield part

@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from millrace.llm.common import WHITE, stash, text_bytes
@@ -71,8 +72,8 @@ def statistics(text: bytes) -> tuple[int, ...]:
     stops = text.count(b".")
     votes = [
         _vote(symbols / n, 0.03, 0.15),
-        _vote(dup_lines / len(lines), 0.1, 0.3),
-        _vote(repeated / n, 0.1, 0.2),
+        1 if 0 < dup_lines < 3 else _vote(dup_lines / len(lines), 0.1, 0.3),
+        _vote(repeated / n, 0.15, 0.3),
         1 if n < 40 else _vote(-distinct / min(n, 400), -0.45, -0.25),
         1 if lower + upper < 20 else _vote(upper / (lower + upper), 0.15, 0.4),
         _vote(text.count(b"!") / n, 0.05, 0.2),
@@ -103,7 +104,7 @@ def _unpacked(pattern: np.ndarray) -> np.ndarray:
     return pattern[:, None] // places % 3
 
 
-@pandas_udf(", ".join(f"{c} long" for c in (*_COUNTS, "votes")))
+@pandas_udf(T.StructType([T.StructField(c, T.LongType()) for c in (*_COUNTS, "votes")]))
 def _statistics(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for part in texts:
         yield pd.DataFrame([statistics(t) for t in part], columns=[*_COUNTS, "votes"], dtype="int64")
@@ -113,19 +114,24 @@ def features(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     return docs.select(F.col(doc_id).alias("doc_id"), _statistics(text_bytes(text)).alias("s")).select("doc_id", "s.*")
 
 
+#: A rule is taken to call at most this share of good texts bad; the rest of the rates are free.
+MAX_FALSE_ALARM = 0.001
+
+
 def posterior(patterns: np.ndarray, counts: np.ndarray, rounds: int = 60) -> np.ndarray:
-    """Probability of good for each vote pattern, by EM over a latent class and each rule's votes given the class.
+    """Probability of good for each vote pattern, by EM over a latent class and each rule's rate of bad votes given the class.
 
-    Starts from "bad where any rule says so"; add-one smoothing keeps every rate inside (0, 1)."""
+    An abstention says nothing about the class. Starts from "bad where any rule says so"; add-one smoothing keeps rates
+    inside (0, 1), and the rate on good texts is held to `MAX_FALSE_ALARM`, so the classes can't swap."""
     votes = _unpacked(patterns)
-    good = np.where((votes == 0).any(axis=1), 0.1, 0.9)
-    one_hot = votes[:, :, None] == np.arange(3)
+    bad, cast = votes == 0, votes != 1
+    good = np.where(bad.any(axis=1), 0.05, 0.95)
     for _ in range(rounds):
-        score = np.zeros((2, len(counts)))
-        for k, share in enumerate((1 - good, good)):
+        score = []
+        for share, most in ((1 - good, 1.0), (good, MAX_FALSE_ALARM)):
             weight = share * counts
-            rate = (np.einsum("p,pjv->jv", weight, one_hot) + 1) / (weight.sum() + 3)
-            score[k] = np.log((weight.sum() + 1) / (counts.sum() + 2)) + np.where(one_hot, np.log(rate), 0).sum(axis=(1, 2))
+            rate = np.minimum((weight @ bad + 1) / (weight @ cast + 2), most)
+            score.append(np.log((weight.sum() + 1) / (counts.sum() + 2)) + bad @ np.log(rate) + (cast & ~bad) @ np.log1p(-rate))
         new = 1 / (1 + np.exp(np.clip(score[0] - score[1], -500, 500)))
         if np.abs(new - good).max() < 1e-9:
             break

@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from millrace.llm.common import stash, text_bytes, words_of
@@ -45,7 +46,7 @@ def fingerprint(text: bytes) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
-@pandas_udf("long")
+@pandas_udf(T.LongType())
 def _fingerprint(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for part in texts:
         yield pd.Series(np.array([fingerprint(t) for t in part], np.uint64).view(np.int64))
@@ -64,13 +65,6 @@ def close_pairs(values: np.ndarray, radius: int, other: np.ndarray | None = None
     nodes, side = nodes[order], np.zeros(len(nodes), bool) if other is None else (order >= len(values))
     ones = np.bitwise_count(nodes).astype(np.int16)
     root = np.arange(len(nodes))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
     for a in range(0, len(nodes), BLOCK):
         for b in range(a, len(nodes), BLOCK):
             if ones[b] - ones[min(a + BLOCK, len(nodes)) - 1] > radius:
@@ -79,15 +73,23 @@ def close_pairs(values: np.ndarray, radius: int, other: np.ndarray | None = None
             near = np.bitwise_count(left[:, None] ^ right[None, :]) <= radius
             if other is not None:
                 near &= side[a : a + BLOCK, None] != side[None, b : b + BLOCK]
-            if a == b:
-                near = np.triu(near, 1)
-            for i, j in zip(*np.nonzero(near), strict=True):
-                i, j = find(a + i), find(b + j)
-                if i != j:
-                    root[max(i, j)] = min(i, j)
-    roots = np.array([find(i) for i in range(len(nodes))], np.int64)
-    linked = roots != np.arange(len(nodes))
-    return nodes[linked], nodes[roots[linked]]
+            i, j = np.nonzero(near)
+            _join(root, a + i, b + j)
+    linked = root != np.arange(len(nodes))
+    return nodes[linked], nodes[root[linked]]
+
+
+def _join(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Joins the classes of i[k] and j[k] for all k at once; `root` holds each node's smallest class member."""
+    while True:
+        x, y = root[i], root[j]
+        apart = x != y
+        if not apart.any():
+            return
+        i, j, x, y = i[apart], j[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root[:] = root[root]
 
 
 _EDGES = "a long, b long"
@@ -109,6 +111,8 @@ def links(distinct: DataFrame, n: int, radius: int = RADIUS, tile_rows: int = TI
     widths = [BITS // (radius + 1) + (k < BITS % (radius + 1)) for k in range(radius + 1)]
     starts = np.cumsum([0, *widths[:-1]]).tolist()
     prefix = max(0, math.ceil(math.log2(max(1, n) / tile_rows)))
+    if not prefix:
+        starts, widths = [0], [BITS]
     bands = [
         F.struct(F.lit(k).alias("band"), F.shiftrightunsigned(F.shiftleft("fp", s), BITS - min(w, prefix)).alias("head") if prefix else F.lit(0).cast("long").alias("head"))
         for k, (s, w) in enumerate(zip(starts, widths, strict=True))
@@ -135,10 +139,10 @@ def spread(edges: DataFrame) -> DataFrame:
         small_low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(small_low, "a").select(F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e")).select("e.a", "e.b")
         after = stash(small.filter("a != b").distinct(), "edges")
-        ends = after.groupBy("a").count().agg(F.coalesce(F.max("count"), F.lit(0)).alias("n")).first().n
-        chained = after.join(after.select(F.col("a").alias("b")), "b", "left_semi").isEmpty()
+        hung = after.groupBy("a").count().filter("count > 1").isEmpty()
+        flat = after.join(after.select(F.col("a").alias("b")), "b", "left_semi").isEmpty()
         edges = after
-        if ends <= 1 and chained:
+        if hung and flat:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(edges.select("b", "b").distinct().toDF("node", "label"))
 
 
@@ -155,5 +159,8 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radi
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """One row of each class stays, that with its smallest doc_id (of repeated rows of that id, any one), with all its columns."""
-    kept = components(docs, doc_id, text, radius).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(kept, F.col(doc_id).eqNullSafe(F.col("__keep")), "left_semi").dropDuplicates([doc_id])
+    found = stash(components(docs, doc_id, text, radius), "classes")
+    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__keep")).distinct()
+    stay = docs.join(kept, F.col(doc_id).eqNullSafe(F.col("__keep")), "left_semi")
+    repeated = not found.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    return stay.dropDuplicates([doc_id]) if repeated else stay
