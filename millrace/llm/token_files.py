@@ -276,7 +276,7 @@ def read_ids(spark: SparkSession, folder: str, id_type: T.DataType) -> DataFrame
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     files = read_manifest(spark, folder).withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("start", T.LongType()), T.StructField("ids", T.BinaryType())])
-    return files.repartition("file").select("file", "start").mapInArrow(run, schema)
+    return files.select("file", "start").repartition(max(1, read_manifest(spark, folder).count())).mapInArrow(run, schema)
 
 
 def crc32(ids: bytes) -> int:
