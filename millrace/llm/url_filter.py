@@ -4,7 +4,7 @@ Each host's paths form a tree of segments. Runs of digits and long hexadecimal s
 level by level, sibling branches that are statistically alike are merged into one wildcard branch: a branch stays apart only
 if its share of blocked pages among labelled ones, or its share of paths that end there, differs from that of its
 siblings taken together by more than Hoeffding's bound allows. A template (a leaf path of the merged tree) is rejected if
-its share of blocked pages, smoothed towards its host's (itself smoothed towards that of all pages), is high. Labels come from rules
+its share of blocked pages, smoothed towards its host's (itself smoothed towards one half, so that nothing is rejected without evidence), is high. Labels come from rules
 that fix a verdict for hosts and path prefixes; a rule's own verdict always stands.
 
 Everything is counted per host and path shape before anything is dealt out by host, so a host with a third of all pages is a few
@@ -87,11 +87,9 @@ def templates(pages: DataFrame) -> DataFrame:
 
 def rejected(tree: DataFrame) -> DataFrame:
     """(host, template) of the templates whose smoothed share of blocked pages is at least `REJECT`."""
-    total = tree.agg(F.coalesce(F.sum("blocked"), F.lit(0)).alias("b"), F.coalesce(F.sum("labelled"), F.lit(0)).alias("l"))
-    share = total.select(((F.col("b") + 1) / (F.col("l") + 2)).alias("share"))
     leaves = tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
-    hosts = leaves.groupBy("host").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b")).crossJoin(F.broadcast(share))
-    prior = hosts.select("host", ((F.col("b") + SMOOTHING * F.col("share")) / (F.col("l") + SMOOTHING)).alias("prior"))
+    hosts = leaves.groupBy("host").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
+    prior = hosts.select("host", ((F.col("b") + SMOOTHING / 2) / (F.col("l") + SMOOTHING)).alias("prior"))
     purity = (F.col("blocked") + SMOOTHING * F.col("prior")) / (F.col("labelled") + SMOOTHING)
     return leaves.join(prior, "host").filter(purity >= REJECT).select("host", "template")
 
