@@ -40,6 +40,13 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Has Spark hand texts to Python at most `rows` at a time, so that a worker holds few whole texts at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key, "10000")) > rows:
+        spark.conf.set(key, str(rows))
+
+
 def text_bytes(column: str = "text") -> Column:
     """A text as UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b"").cast("binary"))
@@ -87,7 +94,7 @@ def word_hashes(texts: list[bytes], table: bytes = SPACES) -> tuple[np.ndarray,
     return h | np.uint64(1), np.searchsorted(starts, offsets)
 
 
-def portions(texts: Sequence[bytes], most: int = 1 << 20) -> Iterator[list[bytes]]:
+def portions(texts: Sequence[bytes], most: int = 1 << 19) -> Iterator[list[bytes]]:
     """Consecutive texts of about `most` bytes together, so that work arrays stay small; a longer text stands alone."""
     part: list[bytes] = []
     size = 0

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from millrace.llm.common import SPACES_AND_MARKS, portions, text_bytes, word_hashes
+from millrace.llm.common import SPACES_AND_MARKS, portions, small_batches, text_bytes, word_hashes
 
 EDITS, BITS, TARGET, AGREEMENT = 0.2, 4, 0.95, 0.7
 ITEMS = 5000
@@ -171,6 +171,7 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, items: int) -> Iterat
 
 
 def _finder(docs: DataFrame, block: list[tuple[object, bytes]], kind: T.DataType):
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Index(block))
     found = T.StructType([T.StructField("item_id", kind), *(T.StructField(c, T.IntegerType()) for c in ("start_word", "n_words", "distance"))])
 

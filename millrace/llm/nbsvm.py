@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from millrace.llm.common import remainder, text_bytes, words_of
+from millrace.llm.common import remainder, small_batches, text_bytes, words_of
 from millrace.llm.labelled import MAX_ROWS, fit_once, sample
 from millrace.llm.svm import calibrate, dual_coordinate_descent, probability
 
@@ -86,6 +86,7 @@ def fit(texts: list[bytes], labels: list[int]) -> tuple[np.ndarray, float, float
 
 def scorer(spark: SparkSession, model: tuple[np.ndarray, float, float, float]):
     """A column function from text bytes to the score; the model's size is fixed, so it is broadcast."""
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @pandas_udf("double")

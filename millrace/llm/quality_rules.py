@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from millrace.llm.common import WHITE, stash, text_bytes
+from millrace.llm.common import WHITE, small_batches, stash, text_bytes
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -111,6 +111,7 @@ def _statistics(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 
 def features(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.select(F.col(doc_id).alias("doc_id"), _statistics(text_bytes(text)).alias("s")).select("doc_id", "s.*")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, licenses, lm, nbsvm, quality_rules, sentencepiece, simhash, token_files, toxicity, url_filter
-from millrace.llm.common import scratch, table, text_bytes
+from millrace.llm.common import scratch, table
 
 #: Folder of the public tokenizers' files on every machine; a parameter of the operators.
 TOKENIZERS = "/opt/tokenizers"
@@ -50,9 +50,7 @@ def op8_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_ids, ids_crc32 and whether decoding gives back the text."""
     model = f"{TOKENIZERS}/piece_bpe_32k.model"
-    docs = table(spark, sf_dir, "documents").select("doc_id", text_bytes().alias("text"))
-    both = sentencepiece.decoded(sentencepiece.encoded(docs, model), model)
-    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+    return sentencepiece.encoded_and_checked(table(spark, sf_dir, "documents"), model).select("doc_id", "n_ids", F.crc32("ids").alias("ids_crc32"), "round_trip")
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

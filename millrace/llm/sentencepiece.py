@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from millrace.llm.common import portions, text_bytes
+from millrace.llm.common import portions, small_batches, text_bytes
 
 BLANK, OWN_BLANK = "▁", ""
 #: Words whose ids a Python worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 
 
 _RUNS = re.compile(" +[^ ]*").findall
@@ -221,11 +221,33 @@ def decoder(path: str):
     return decode.asNondeterministic()
 
 
+def round_trip(path: str):
+    """A column function from text bytes to (ids, exact): the ids, and whether decoding them gives back the text."""
+
+    @pandas_udf(T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("exact", T.BooleanType())]))
+    def check(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        codec = _codec(path)
+        for part in texts:
+            ids = [x for some in portions(part.tolist()) for x in codec.encode_all(some)]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "exact": pd.Series([codec.decode(x) == t for x, t in zip(ids, part, strict=True)], dtype=bool)})
+
+    return check.asNondeterministic()
+
+
+def encoded_and_checked(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, ids (binary, four bytes each), n_ids and round_trip of every row, in one pass through one worker."""
+    small_batches(docs.sparkSession)
+    both = docs.select(F.col(doc_id).alias("doc_id"), round_trip(path)(text_bytes(text)).alias("r"))
+    return both.select("doc_id", F.col("r.ids").alias("ids"), (F.octet_length("r.ids") / 4).cast("long").alias("n_ids"), F.col("r.exact").alias("round_trip"))
+
+
 def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """`docs` with a binary column of ids, four bytes each."""
+    small_batches(docs.sparkSession)
     return docs.withColumn(ids, encoder(path)(text_bytes(text)))
 
 
 def decoded(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """`docs` with the text bytes that its ids stand for."""
+    small_batches(docs.sparkSession)
     return docs.withColumn(text, decoder(path)(F.coalesce(F.col(ids), F.lit(b"").cast("binary"))))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from millrace.llm.common import stash, text_bytes, words_of
+from millrace.llm.common import small_batches, stash, text_bytes, words_of
 
 SHINGLE, SEED, RADIUS, BITS = 3, 42, 2, 64
 #: Fingerprints that a tile holds on average, the most before it is cut, and the block compared at once.
@@ -53,6 +53,7 @@ def _fingerprint(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.select(F.col(doc_id).alias("doc_id"), _fingerprint(text_bytes(text)).alias("fp"))
 
 

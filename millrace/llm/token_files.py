@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from millrace.llm.common import text_bytes
+from millrace.llm.common import small_batches, text_bytes
 
 MAGIC, CHUNK, LEVEL = b"IDPLANE1", 1 << 16, 1
 #: Words whose ids a Python worker remembers.
@@ -232,6 +232,7 @@ def write_ids(docs: DataFrame, folder: str, encode: Callable[[bytes], bytes], en
             out.close()
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "file": [file], "n_docs": [len(writer.lengths)], "n_ids": [sum(writer.lengths)]})
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_bytes(text).alias("text"))
     ordered = rows.repartitionByRange(F.asc_nulls_first("doc_id"), F.asc("text")) if _repeats(docs, doc_id) else rows.repartitionByRange(F.asc_nulls_first("doc_id"))
     ordered = ordered.sortWithinPartitions(F.asc_nulls_first("doc_id"), F.asc("text"))
