@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, quality_rules, sentencepiece, simhash, toxicity
 from millrace.llm.common import scratch, table
@@ -29,9 +28,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids (binary, four bytes each), n_ids and whether decoding gives back the text."""
-    model = f"{TOKENIZERS}/piece_bpe_32k.model"
-    both = sentencepiece.decoded(sentencepiece.encoded(docs.select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"").cast("binary")).alias("text")), model), model)
-    return both.select("doc_id", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+    return sentencepiece.encoded_and_checked(docs, f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
 STAGES = [
