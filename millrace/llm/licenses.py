@@ -59,7 +59,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     # A unit of n words has at most n - 1 distinct bigrams, or one; that bounds its size from below by the template's.
     least = min((math.ceil(len(g) / factor - 1e-9) for g in known.values()), default=1)
     probes = sorted({g for grams in known.values() for g in grams[: len(grams) - math.ceil(threshold / 2 * len(grams) * (1 + 1 / factor) - 1e-9) + 1]})
-    holds = "|".join(rf"\b{g.strip()}\b" for g in probes) or "(?!)"
+    holds = rf"\b(?:{'|'.join(g.strip() for g in probes)})\b" if probes else "(?!)"
 
     def dice(unit: Column) -> Column:
         return F.array(*[
@@ -71,9 +71,14 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     likely = F.filter(F.transform(units(F.coalesce(F.col(text).cast("string"), F.lit(""))), normalised), lambda u: (F.length(u) - F.length(F.replace(u, F.lit(" "), F.lit(""))) + 1 >= F.lit(least)) & u.rlike(holds))
     best = F.transform(F.transform(F.array_distinct(likely), bigrams), lambda u: F.reduce(dice(u), F.struct(F.lit(0.0).alias("dice"), F.lit(None).cast("string").alias("license")), lambda a, x: F.when(x.dice > a.dice, x).otherwise(a)))
     reached = F.filter(best, lambda b: b.dice >= threshold)
-    top = F.reduce(reached, F.struct(F.lit(0.0).alias("dice"), F.lit(None).cast("string").alias("license")), lambda a, x: F.when((x.dice > a.dice) | ((x.dice == a.dice) & (x.license < a.license)), x).otherwise(a))
-    found = docs.select(F.col(doc_id).alias("doc_id"), reached.alias("reached"), top.alias("top"))
-    return found.select("doc_id", F.col("top.license").alias("license"), F.col("top.dice").alias("dice"), F.size("reached").cast("long").alias("n_units"))
+
+    def summary(reached: Column) -> Column:
+        top = F.reduce(reached, F.struct(F.lit(0.0).alias("dice"), F.lit(None).cast("string").alias("license")), lambda a, x: F.when((x.dice > a.dice) | ((x.dice == a.dice) & (x.license < a.license)), x).otherwise(a))
+        return F.struct(top.alias("top"), F.size(reached).cast("long").alias("n"))
+
+    # The units that reach the threshold are worked out once and bound by a list of one.
+    found = docs.select(F.col(doc_id).alias("doc_id"), F.transform(F.array(reached), summary)[0].alias("s"))
+    return found.select("doc_id", F.col("s.top.license").alias("license"), F.col("s.top.dice").alias("dice"), F.col("s.n").alias("n_units"))
 
 
 def oracle_sql(templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> str:
