@@ -4,7 +4,9 @@ A text's units are the text itself, its paragraphs (parted by blank lines) and i
 run of other characters than a-z and 0-9 made one blank) and compared to every template by the Dice coefficient over
 their sets of word bigrams (a single word counts as a bigram with nothing). Two bounds prune before any bigram is made, neither of which
 changes the result: Dice can reach `threshold` only if the sets' sizes differ by at most a factor (2 - threshold) / threshold, and a
-unit must hold at least one of a template's first bigrams, as it may lack only so many of them.
+unit must hold at least one of a template's longest bigrams, as it may lack only so many of them. A unit's normalised words are
+consecutive words of the normalised text, so a text without any such bigram is not parted into units at all, and one that lacks a
+word of each such bigram is not even normalised.
 
 Defined cases: null and empty texts, and texts without a unit like a template, have license null and dice 0; equal coefficients go
 to the alphabetically first license; repeated rows get equal results; an empty table gives an empty result; further columns are not read.
@@ -14,6 +16,8 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +38,7 @@ TEMPLATES = {
 
 
 def normalised(text: Column) -> Column:
-    return F.trim(F.regexp_replace(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[^a-z0-9]+", " "))
+    return F.trim(F.lower(F.regexp_replace(text, "[^A-Za-z0-9]+", " ")))
 
 
 def _bigrams_of(text: str) -> list[str]:
@@ -49,7 +53,7 @@ def bigrams(unit: Column) -> Column:
 
 
 def units(text: Column) -> Column:
-    return F.concat(F.array(text), F.split(text, "\\n[ \\t\\r]*\\n"), F.split(text, "\\n"))
+    return F.array_distinct(F.concat(F.array(text), F.split(text, "\\n[ \\t\\r]*\\n"), F.split(text, "\\n")))
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -58,8 +62,11 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     factor = (2 - threshold) / threshold
     # A unit of n words has at most n - 1 distinct bigrams, or one; that bounds its size from below by the template's.
     least = min((math.ceil(len(g) / factor - 1e-9) for g in known.values()), default=1)
-    probes = sorted({g for grams in known.values() for g in grams[: len(grams) - math.ceil(threshold / 2 * len(grams) * (1 + 1 / factor) - 1e-9) + 1]})
-    holds = rf"\b(?:{'|'.join(g.strip() for g in probes)})\b" if probes else "(?!)"
+    # Of each template's bigrams the longest, as they are the rarest.
+    needed = {name: len(g) - math.ceil(threshold / 2 * len(g) * (1 + 1 / factor) - 1e-9) + 1 for name, g in known.items()}
+    probes = sorted({p for name, g in known.items() for p in sorted(g, key=lambda p: (-len(p), p))[: needed[name]]})
+    # The same words side by side in a text that is not normalised yet.
+    holds = rf"(?i)(?<![a-z0-9])(?:{'|'.join('[^a-z0-9]+'.join(p.split()) for p in probes)})(?![a-z0-9])" if probes else "(?!)"
 
     def dice(unit: Column) -> Column:
         return F.array(*[
@@ -68,7 +75,12 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
             for name, g in known.items()
         ])
 
-    likely = F.filter(F.transform(units(F.coalesce(F.col(text).cast("string"), F.lit(""))), normalised), lambda u: (F.length(u) - F.length(F.replace(u, F.lit(" "), F.lit(""))) + 1 >= F.lit(least)) & u.rlike(holds))
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    lower = F.lower(whole)
+    may_hold = reduce(or_, (reduce(and_, (lower.contains(w) for w in sorted(set(g.split()), key=len, reverse=True))) for g in probes), F.lit(False))
+    parts = F.when(may_hold & whole.rlike(holds), units(whole)).otherwise(F.array().cast("array<string>"))
+    held = F.transform(F.filter(parts, lambda u: u.rlike(holds)), normalised)
+    likely = F.filter(held, lambda u: F.length(u) - F.length(F.replace(u, F.lit(" "), F.lit(""))) + 1 >= F.lit(least))
     best = F.transform(F.transform(F.array_distinct(likely), bigrams), lambda u: F.reduce(dice(u), F.struct(F.lit(0.0).alias("dice"), F.lit(None).cast("string").alias("license")), lambda a, x: F.when(x.dice > a.dice, x).otherwise(a)))
     reached = F.filter(best, lambda b: b.dice >= threshold)
 
