@@ -81,7 +81,8 @@ def templates(pages: DataFrame) -> DataFrame:
         merge = (F.col("siblings") > 1) & _alike(F.col("blocked"), F.col("labelled"), F.col("all_blocked"), F.col("all_labelled")) & _alike(F.col("ends"), F.col("n"), F.col("all_ends"), F.col("all_n"))
         named = judged.select("host", "template", "branch", F.when(merge, F.lit(ANY)).otherwise(F.col("branch")).alias("name"))
         grown = at.join(named, ["host", "template", "branch"]).withColumn("template", F.concat("template", F.array("name"))).drop("branch", "name")
-        tree = grown.unionByName(tree.filter(F.size("shape") < level))
+        # Written at each level: every level reads its predecessor several times.
+        tree = stash(grown.unionByName(tree.filter(F.size("shape") < level)), f"level-{level}")
     return tree
 
 
@@ -100,7 +101,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, page_id: str = "pag
     read = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
     read = read.withColumn("fixed", rule_of(F.col("host"), F.col("path"), rules)).withColumn("shape", shape(F.col("path")))
     seen = read.select("host", "shape", F.col("fixed").isNotNull().cast("long").alias("labelled"), F.coalesce((F.col("fixed.verdict") == "block").cast("long"), F.lit(0)).alias("blocked"))
-    tree = stash(templates(seen), "templates")
+    tree = templates(seen)
     verdicts = tree.select("host", "shape", "template").join(rejected(tree).withColumn("bad", F.lit(True)), ["host", "template"], "left")
     out = read.join(verdicts, ["host", "shape"], "left")
     return out.select(
