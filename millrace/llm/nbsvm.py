@@ -47,12 +47,12 @@ def features(text: bytes) -> np.ndarray:
         before = w
     one = np.array(codes, np.uint64)
     pair = (one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:] * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(46)
-    kind = np.frombuffer(text.translate(_KIND), np.uint8).astype(np.int64)
+    kind = np.frombuffer(text.translate(_KIND), np.uint8).astype(np.uint16)  # four kinds fill 16 bits
     runs = ((kind[:-3] * KINDS + kind[1:-2]) * KINDS + kind[2:-1]) * KINDS + kind[3:] if len(kind) > 3 else kind[:0]
     found = np.zeros(WIDTH, bool)
     found[((one * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)] = True
     found[pair.astype(np.int64)] = True
-    found[HASHED + runs] = True
+    found[HASHED:][runs] = True
     return np.flatnonzero(found)
 
 
