@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import text_bytes
 
-#: Bounds on what fitting reads: labelled rows, and bytes of whole texts (rows beyond either are not used to fit).
+#: Bound on the labelled rows that fitting reads (rows beyond it are not used to fit, and are scored as any other).
 MAX_ROWS = 6000
 
 
