@@ -1,6 +1,7 @@
 """The corpus operators against brute force, exact round trips and held-out labels; odd inputs of every kind."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -231,3 +232,25 @@ def test_pipeline_keeps_clean_documents(spark):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()
     toxic = [r.doc_id in ids for r in labels if r.toxic]
     assert sum(toxic) <= 0.2 * len(toxic) and not any(r.doc_id in ids for r in labels if not r.quality)
+
+
+def test_license_probes_see_separators_and_other_letters(spark):
+    """Words are parted by any characters but ASCII letters and digits, also by letters whose lower case is ASCII."""
+    texts = ["prose\n\nRELEASED --- under\tthe K MITéLicense!\nmore", "ReleasedKunder the MIT License", "xReleased under the MITx Licensey", "all\nrights\nreserved", "All rights reserved.\n" * 2 + "prose of another kind", None, ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r.license, r.dice, r.n_units) for r in licenses.scan(frame).orderBy("doc_id").collect()]
+
+    def by_brute_force(text):
+        text, best = text or "", {}
+        for unit in {text, *re.split(r"\n[ \t\r]*\n", text), *text.split("\n")}:
+            words = tuple(w.lower() for w in re.findall("[A-Za-z0-9]+", unit))
+            grams = {f"{a} {b}" for a, b in zip(words, words[1:], strict=False)} or {f"{w} " for w in words}
+            scores = [(2 * len(grams & own) / (len(grams) + len(own)), name) for name, t in licenses.TEMPLATES.items() for own in [set(licenses._bigrams_of(t))]]
+            dice, name = min(scores, key=lambda s: (-s[0], s[1]))
+            if dice >= licenses.THRESHOLD:
+                best[words] = (-dice, name)
+        dice, name = min(best.values(), default=(0.0, None))
+        return name, -dice if name else 0.0, len(best)
+
+    assert got == [by_brute_force(t) for t in texts]
+    assert [name for name, _, _ in got] == ["mit", "mit", None, "all-rights-reserved", "all-rights-reserved", None, None]
