@@ -147,21 +147,32 @@ def spread(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(edges.select("b", "b").distinct().toDF("node", "label"))
 
 
+def _labelled(distinct: DataFrame, radius: int) -> DataFrame:
+    """fp, first and the class label of every fingerprint of `distinct`."""
+    labels = spread(links(distinct.select("fp"), distinct.count(), radius))
+    return distinct.join(labels, distinct.fp == labels.node, "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
+
+
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id for every row of `docs`."""
     found = stash(fingerprints(docs, doc_id, text), "fingerprints")
     distinct = stash(found.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    labels = spread(links(distinct.select("fp"), distinct.count(), radius))
-    named = distinct.join(labels, distinct.fp == labels.node, "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
+    named = _labelled(distinct, radius)
     classes = named.groupBy("label").agg(F.min("first").alias("component_id"))
     member = named.select("fp", "label").join(classes, "label").select("fp", "component_id")
     return found.join(member, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """One row of each class stays, that with its smallest doc_id (of repeated rows of that id, any one), with all its columns."""
-    found = stash(components(docs, doc_id, text, radius), "classes")
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__keep")).distinct()
-    stay = docs.join(kept, F.col(doc_id).eqNullSafe(F.col("__keep")), "left_semi")
-    repeated = not found.groupBy("doc_id").count().filter("count > 1").isEmpty()
-    return stay.dropDuplicates([doc_id]) if repeated else stay
+    """One row of each class stays, with all its columns: that with the smallest doc_id (nulls last), then fingerprint and text digest.
+
+    A row is known by its id and its text's digest, so neither null nor repeated ids join rows of different texts; of rows
+    alike in both any one stays."""
+    small_batches(docs.sparkSession)
+    digest = F.md5(text_bytes(text))
+    found = stash(docs.select(F.col(doc_id).alias("doc_id"), _fingerprint(text_bytes(text)).alias("fp"), digest.alias("digest")), "fingerprints")
+    distinct = stash(found.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp", "digest")).alias("first")), "distinct")
+    survivors = _labelled(distinct, radius).groupBy("label").agg(F.min("first").alias("k")).select(F.col("k.doc_id").alias("__keep"), F.col("k.digest").alias("__keep_digest"))
+    stay = docs.withColumn("__digest", digest).join(survivors, F.col(doc_id).eqNullSafe(F.col("__keep")) & (F.col("__digest") == F.col("__keep_digest")), "left_semi")
+    repeated = not found.groupBy("doc_id", "digest").count().filter("count > 1").isEmpty()
+    return (stay.dropDuplicates([doc_id, "__digest"]) if repeated else stay).drop("__digest")
