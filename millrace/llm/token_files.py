@@ -159,12 +159,12 @@ class WordwiseEncoder:
     A byte-level BPE's pattern always starts a new token at a single blank or line end between two visible characters, so a text is the
     sequence of its words with that character in front; texts with any other white space go through the tokenizer whole."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
         self.tokenize = self.tokenizer.model.tokenize
         self.byte_level = _byte_level()
         self.blank = self.byte_level[32]
@@ -192,14 +192,17 @@ class WordwiseEncoder:
 #: White space other than single blanks and line ends: as bytes, and characters whose bytes begin like those of common marks.
 _ODD = [x.encode() for x in ("  ", " \n", "\n ", "\n\n", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u205f\u3000")]
 _ODD_WIDE = [chr(c) for c in (*range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F)]
-_encoders: dict[str, WordwiseEncoder] = {}
+_encoders: dict[tuple[str, bool], WordwiseEncoder] = {}
 
 
-def tokenizer_encode(path: str) -> Callable[[bytes], bytes]:
+def tokenizer_encode(path: str, special: bool = False) -> Callable[[bytes], bytes]:
+    """Ids of a text. With `special` the name of a special token in a text becomes its one id, as the library does by default."""
+
     def encode(text: bytes) -> bytes:
-        if path not in _encoders:
-            _encoders[path] = WordwiseEncoder(path)
-        return _encoders[path].encode(text)
+        key = path, special
+        if key not in _encoders:
+            _encoders[key] = WordwiseEncoder(path, special)
+        return _encoders[key].encode(text)
 
     return encode
 
