@@ -42,6 +42,17 @@ def merge_state(state: DataFrame, delta: DataFrame, key: Sequence[str]) -> DataF
     return latest_per_key(both, key, [F.desc("_lsn"), F.desc("_seq")])
 
 
+def last_cut(changes: DataFrame) -> tuple[int, int] | None:
+    """(position, sequence) of the last truncation among changes, or None."""
+    cut = changes.agg(F.max(F.when(F.col("_op") == "T", F.struct("_lsn", "_seq"))).alias("cut")).first().cut
+    return None if cut is None else (cut["_lsn"], cut["_seq"])
+
+
+def after_cut(rows: DataFrame, cut: tuple[int, int] | None) -> DataFrame:
+    """The rows that a truncation leaves: those beyond its position."""
+    return rows if cut is None else rows.filter((F.col("_lsn") > cut[0]) | ((F.col("_lsn") == cut[0]) & (F.col("_seq") > cut[1])))
+
+
 def needs_reset(state: DataFrame, changes: DataFrame) -> bool:
     """Whether the state must be rebuilt: it is empty, another snapshot has come, or a truncation lies beyond it."""
     s = state.agg(F.max("_lsn").alias("mark"), F.max(F.when(F.col("_op") == "S", F.col("_lsn"))).alias("snapshot")).first()

@@ -4,37 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.changes import merge_state
+from millrace.operators.changes import after_cut, last_cut, merge_state
+
+_VERSIONS = "version long, path string, cut_lsn long, cut_seq long"
 
 
 def read_state(spark: SparkSession, folder: str) -> DataFrame | None:
     """The latest version of the state, or None before the first. A version counts once its marker row is written."""
+    last = _last_version(spark, folder)
+    return None if last is None else spark.read.parquet(last.path)
+
+
+def _last_version(spark: SparkSession, folder: str) -> Row | None:
     try:
-        versions = spark.read.schema("version long, path string").parquet(f"{folder}/versions")
+        versions = spark.read.schema(_VERSIONS).parquet(f"{folder}/versions")
     except Exception as e:
         if "PATH_NOT_FOUND" in str(e):
             return None
         raise
-    last = versions.orderBy(F.desc("version")).first()
-    return None if last is None else spark.read.parquet(last.path)
+    return versions.orderBy(F.desc("version")).first()
 
 
 def keep_state(stream: DataFrame, folder: str, key: Sequence[str], checkpoint: str, continuous: str | None = None) -> StreamingQuery:
     """Merges each micro-batch into the state. A batch that is delivered again writes the same version, and a change below
-    what a key already holds loses by its log position; nothing is dropped by time. One writer at a time."""
+    what a key already holds loses by its log position; nothing is dropped by time. A truncation removes what lies before it,
+    and its position stays with the version, so changes from before it that come later are left out too. One writer at a time."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        state = read_state(spark, folder)
-        fresh = batch.filter("_op <> 'T'")
-        merged = merge_state(fresh if state is None else state, fresh, key)
+        last, cut = _last_version(spark, folder), last_cut(batch)
+        if last is not None and last.cut_lsn is not None:
+            cut = max((last.cut_lsn, last.cut_seq), cut or (last.cut_lsn, last.cut_seq))
+        fresh = after_cut(batch.filter("_op <> 'T'"), cut)
+        state = fresh if last is None else after_cut(spark.read.parquet(last.path), cut)
+        merged = merge_state(state, fresh, key)
         path = f"{folder}/state-{batch_id:012d}"
         merged.write.mode("overwrite").parquet(path)
-        spark.createDataFrame([(batch_id, path)], "version long, path string").coalesce(1).write.mode("append").parquet(f"{folder}/versions")
+        spark.createDataFrame([(batch_id, path, *(cut or (None, None)))], _VERSIONS).coalesce(1).write.mode("append").parquet(f"{folder}/versions")
 
     trigger = {"availableNow": True} if continuous is None else {"processingTime": continuous}
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(**trigger).start()
