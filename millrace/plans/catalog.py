@@ -151,6 +151,16 @@ def j03(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.filter("l_quantity >= 49").select(*keys).join(lines.groupBy(*keys).agg(F.count(F.lit(1)).alias("versions")), keys)
 
 
+@query(
+    "j03_composite_key_all",
+    """SELECT a.l_orderkey, a.l_linenumber, b.versions FROM lineitem a JOIN (SELECT l_orderkey, l_linenumber, count(*) AS versions FROM lineitem GROUP BY 1, 2) b USING (l_orderkey, l_linenumber)""",
+)
+def j03_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    keys = ["l_orderkey", "l_linenumber"]
+    return lines.select(*keys).join(lines.groupBy(*keys).agg(F.count(F.lit(1)).alias("versions")), keys)
+
+
 @query(
     "j04_interval_join",
     f"""WITH spans AS ({_SPANS_SQL}), e AS (SELECT DISTINCT l_suppkey, l_shipdate::DATE AS d FROM lineitem)
@@ -179,6 +189,19 @@ def j05(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("l_orderkey", "l_linenumber", "l_suppkey", F.col("span_year").cast("long").alias("span_year"))
 
 
+@query(
+    "j05_interval_latest_all",
+    f"""WITH spans AS ({_SPANS_SQL})
+        SELECT l_orderkey, l_linenumber, l.l_suppkey, span_year FROM lineitem l LEFT JOIN spans s ON l.l_suppkey = s.l_suppkey AND valid_from <= l_shipdate::DATE AND (valid_to IS NULL OR valid_to >= l_shipdate::DATE)
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l.l_suppkey, l_shipdate, l_partkey, l_extendedprice ORDER BY valid_from DESC NULLS LAST, span_year NULLS LAST) = 1""",
+)
+def j05_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    ids = ["l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_partkey", "l_extendedprice"]
+    found = relational.interval_join(lines.select(*ids, F.col("l_shipdate").cast("date").alias("d")), _spans(lines), "l_suppkey", "d", "valid_from", "valid_to", "latest", id_cols=ids, value="span_year")
+    return found.select("l_orderkey", "l_linenumber", "l_suppkey", F.col("span_year").cast("long").alias("span_year"))
+
+
 @query(
     "j07_bounds",
     """SELECT o_orderpriority, count(*) AS recent FROM orders, (SELECT max(o_orderdate) AS m FROM orders) WHERE o_orderdate >= m - INTERVAL 365 DAY GROUP BY 1""",
@@ -240,6 +263,14 @@ def j17(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relational.connected_components(edges)
 
 
+@query("j17_components_all")
+def j17_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole graph of customers and suppliers; recursive SQL would be too slow on it."""
+    lines = table(spark, sf_dir, "lineitem")
+    edges = lines.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_custkey").alias("a"), (F.col("l_suppkey") + 1000000000).alias("b"))
+    return relational.connected_components(edges)
+
+
 # --- aggregates
 
 
