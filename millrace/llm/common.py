@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -94,7 +94,14 @@ def word_hashes(texts: list[bytes], table: bytes = SPACES) -> tuple[np.ndarray,
     return h | np.uint64(1), np.searchsorted(starts, offsets)
 
 
-def portions(texts: Sequence[bytes], most: int = 1 << 19) -> Iterator[list[bytes]]:
+def ragged(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The stretches pool[starts[k] : starts[k] + lengths[k]] one after another."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return pool[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
+
+
+def portions(texts: Iterable[bytes], most: int = 1 << 19) -> Iterator[list[bytes]]:
     """Consecutive texts of about `most` bytes together, so that work arrays stay small; a longer text stands alone."""
     part: list[bytes] = []
     size = 0
