@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, folder = table(spark, sf_dir, "documents"), scratch(spark, "tokens")
-    token_files.write_ids(docs, folder, token_files.tokenizer_encode(f"{TOKENIZERS}/byte_bpe_50k.json", special=True), END_ID)
+    token_files.write_ids(docs, folder, token_files.tokenizer_encode(public_tokenizers.path("byte_bpe_50k.json"), special=True), END_ID)
     back = token_files.read_ids(spark, folder, docs.schema["doc_id"].dataType)
     return back.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
