@@ -40,6 +40,15 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, *frames: DataFrame) -> str:
+    """A column name that none of the tables has (names differ without regard to case)."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    name = f"__{name}"
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Has Spark hand texts to Python at most `rows` at a time, so that a worker holds few whole texts at once."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

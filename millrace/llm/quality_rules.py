@@ -1,13 +1,14 @@
 """Weak supervision of text quality.
 
-Ten rules look at cheap statistics of a text and vote good (2), bad (0) or abstain (1). How often each rule casts each
-vote on good and on bad texts is estimated without labels by expectation-maximisation over the counts of vote patterns
-(at most 3**10 of them, however many documents there are), and a text is kept when its posterior probability of being
-good is at least one half. All rules failing or passing is not required.
+Eleven rules look at cheap statistics of a text and vote good (2), bad (0) or abstain (1). How often each rule casts each of the three
+votes on good and on bad texts, and how many texts are good, is estimated without labels by expectation-maximisation over the counts of
+vote patterns (at most 3**11 of them, however many documents there are). All rates are free; the classes are told apart by where the
+estimation starts (rules are right more often than not, most texts are good). A text is kept when its posterior probability of being good
+is at least one half, so one bad vote of a rule that also errs on good texts decides nothing, and no rule is a veto.
 
 Defined cases: null text is empty (no words, base_failed); every row gets its own verdict, so repeated rows agree;
 an empty table gives an empty result; further columns of the input are neither read nor returned by `judge`, and kept
-as they are by `keep_good`.
+as they are by `keep_good`, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,12 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from millrace.llm.common import WHITE, small_batches, stash, text_bytes
+from millrace.llm.common import WHITE, fresh, small_batches, stash, text_bytes
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 MIN_WORDS, MAX_REPEAT_PCT = 20, 30
-RULES = ("symbols", "dup_lines", "repeats", "variety", "capitals", "shouts", "stutter", "word_length", "length", "stops")
+RULES = ("symbols", "marked", "lone", "runs", "dup_lines", "repeats", "variety", "capitals", "shouts", "stutter", "word_length")
 _CONTINUATION = bytes(range(0x80, 0xC0))
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -69,9 +70,13 @@ def statistics(text: bytes) -> tuple[int, ...]:
     stutter = int((ids[1:] == ids[:-1]).sum())
     distinct = len(seen)
     lower, upper = (len(solid) - len(solid.translate(None, alphabet)) for alphabet in (_LOWER, _UPPER))
-    stops = text.count(b".")
+    shapes = text.translate(_SHAPES)
+    kinds = shapes.split()
     votes = [
         _vote(symbols / n, 0.03, 0.15),
+        _vote(sum(b"#" in k for k in kinds) / n, 0.03, 0.1),
+        _vote(sum(b"a" not in k for k in kinds) / n, 0.05, 0.15),
+        _vote(shapes.count(b"##") / n, 0.02, 0.1),
         1 if 0 < dup_lines < 3 else _vote(dup_lines / len(lines), 0.1, 0.3),
         _vote(repeated / n, 0.15, 0.3),
         1 if n < 40 else _vote(-distinct / min(n, 400), -0.45, -0.25),
@@ -79,13 +84,13 @@ def statistics(text: bytes) -> tuple[int, ...]:
         _vote(text.count(b"!") / n, 0.05, 0.2),
         1 if n < 10 else _vote(stutter / n, 0.03, 0.1),
         0 if chars < 2 * n or chars > 14 * n else 2 if 3 * n <= chars <= 10 * n else 1,
-        _vote(-n, -40, -MIN_WORDS),
-        1 if n < 60 else _vote(-stops / n, -0.01, -0.002),
     ]
     return n, chars, symbols, dup_lines, repeated, _packed(votes)
 
 
 _LOWER, _UPPER = bytes(range(97, 123)), bytes(range(65, 91))
+#: Symbols as #, letters, digits and bytes beyond ASCII as a, other marks as a stop; white space as it is.
+_SHAPES = bytes(b if b in WHITE else 35 if b in SYMBOLS else 97 if b > 127 or chr(b).isalnum() else 46 for b in range(256))
 
 
 def _vote(value: float, good_to: float, bad_from: float) -> int:
@@ -115,33 +120,39 @@ def features(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     return docs.select(F.col(doc_id).alias("doc_id"), _statistics(text_bytes(text)).alias("s")).select("doc_id", "s.*")
 
 
-#: A rule is taken to call at most this share of good texts bad; the rest of the rates are free.
-MAX_FALSE_ALARM = 0.001
+#: Where the estimation starts: the share of good texts, and rates of bad, abstaining and good votes on bad and on good texts.
+FIRST_PRIOR, FIRST_RATES = 0.8, ((0.3, 0.2, 0.5), (0.05, 0.2, 0.75))
 
 
-def posterior(patterns: np.ndarray, counts: np.ndarray, rounds: int = 60) -> np.ndarray:
-    """Probability of good for each vote pattern, by EM over a latent class and each rule's rate of bad votes given the class.
+def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500) -> tuple[np.ndarray, float, np.ndarray]:
+    """(probability of good for each vote pattern, share of good texts, rates[class, vote, rule] with class 0 bad and 1 good), by EM.
 
-    An abstention says nothing about the class. Starts from "bad where any rule says so"; add-one smoothing keeps rates
-    inside (0, 1), and the rate on good texts is held to `MAX_FALSE_ALARM`, so the classes can't swap."""
+    Rules vote independently given the class. One text is added to each count, so no rate is 0 or 1. Should the classes have changed
+    places (the "good" one gets the larger share of bad votes), they are named the other way round."""
     votes = _unpacked(patterns)
-    bad, cast = votes == 0, votes != 1
-    good = np.where(bad.any(axis=1), 0.05, 0.95)
+    cast = np.stack([votes == v for v in (0, 1, 2)]).astype(float)  # [vote, pattern, rule]
+    prior, rates = FIRST_PRIOR, np.repeat(np.array(FIRST_RATES)[:, :, None], votes.shape[1], axis=2)
+    good = np.zeros(len(counts))
     for _ in range(rounds):
-        score = []
-        for share, most in ((1 - good, 1.0), (good, MAX_FALSE_ALARM)):
-            weight = share * counts
-            rate = np.minimum((weight @ bad + 1) / (weight @ cast + 2), most)
-            score.append(np.log((weight.sum() + 1) / (counts.sum() + 2)) + bad @ np.log(rate) + (cast & ~bad) @ np.log1p(-rate))
-        new = 1 / (1 + np.exp(np.clip(score[0] - score[1], -500, 500)))
-        if np.abs(new - good).max() < 1e-9:
+        says = np.einsum("vpr,cvr->cp", cast, np.log(rates))
+        new = 1 / (1 + np.exp(-np.clip(np.log(prior / (1 - prior)) + says[1] - says[0], -500, 500)))
+        prior = (new @ counts + 1) / (counts.sum() + 2)
+        rates = np.stack([np.einsum("vpr,p->vr", cast, share * counts) + 1 for share in (1 - new, new)])
+        rates /= rates.sum(axis=1, keepdims=True)
+        if np.abs(new - good).max(initial=0) < 1e-9:
             break
         good = new
-    return good
+    if rates[1, 0].sum() > rates[0, 0].sum():
+        new, prior, rates = 1 - new, 1 - prior, rates[::-1]
+    return new, float(prior), rates
+
+
+def posterior(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500) -> np.ndarray:
+    return estimate(patterns, counts, rounds)[0]
 
 
 def fit(votes: DataFrame) -> DataFrame:
-    """(votes, p_good) for each vote pattern that occurs; at most 3**10 rows, so small enough to broadcast."""
+    """(votes, p_good) for each vote pattern that occurs; at most 3**11 rows, so small enough to broadcast."""
     counts = votes.groupBy("votes").count().orderBy("votes").toPandas()
     p = posterior(counts["votes"].to_numpy("int64"), counts["count"].to_numpy("float64")) if len(counts) else np.zeros(0)
     rows = [(int(v), float(q)) for v, q in zip(counts["votes"], p, strict=True)]
@@ -165,8 +176,9 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 def keep_good(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` that `judge` keeps, with all their columns. Reads the texts twice and writes none of them."""
     model = fit(features(docs, doc_id, text).select("votes"))
-    good = [r.votes for r in model.filter("p_good >= 0.5").collect()]
-    mark = "__quality"
+    mark, votes = fresh("quality", docs), fresh("votes", docs)
     found = docs.withColumn(mark, _statistics(text_bytes(text)))
-    n, repeated, votes = (F.col(f"{mark}.{c}") for c in ("n_words", "n_repeat_words", "votes"))
-    return found.filter((n >= MIN_WORDS) & (100 * repeated <= MAX_REPEAT_PCT * n) & votes.isin(good)).drop(mark)
+    n, repeated = (F.col(f"{mark}.{c}") for c in ("n_words", "n_repeat_words"))
+    passed = found.filter((n >= MIN_WORDS) & (100 * repeated <= MAX_REPEAT_PCT * n)).withColumn(votes, F.col(f"{mark}.votes"))
+    good = model.filter("p_good >= 0.5").select(F.col("votes").alias(votes))
+    return passed.join(F.broadcast(good), votes, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
