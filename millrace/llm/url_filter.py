@@ -1,26 +1,31 @@
 """URL filters by a tree of path templates.
 
-Each host's paths form a tree of segments. Runs of digits and long hexadecimal strings in a segment are written as wildcards at once. Then,
-level by level, sibling branches that are statistically alike are merged into one wildcard branch: a branch stays apart only
-if its share of blocked pages among labelled ones, or its share of paths that end there, differs from that of its
-siblings taken together by more than Hoeffding's bound allows. A template (a leaf path of the merged tree) is rejected if
-its share of blocked pages, smoothed towards its host's (itself smoothed towards one half, so that nothing is rejected without evidence), is high. Labels come from rules
-that fix a verdict for hosts and path prefixes; a rule's own verdict always stands.
-
-Everything is counted per host and path shape before anything is dealt out by host, so a host with a third of all pages is a few
-rows per shape. Defined cases: a null url or one without `://` has empty host and path; repeated rows get equal verdicts; paths deeper
-than `DEPTH` share their last segments' wildcard; an empty table gives an empty result; further columns are not read.
+Each host's paths form a tree of segments. Level by level, the branches of a node are generalised: a branch with fewer than `SUPPORT` pages
+is a variable segment and becomes the wildcard, and so does a branch that is statistically like its siblings taken together. Two sides are alike
+if none of these shares of their pages differs by more than Hoeffding's bound allows: paths that end here, one or two segments on,
+distinct next segments, and, where both have labels, blocked ones among labelled ones. A node with fewer than `SUPPORT` pages is not divided: a tail
+wildcard stands for the rest of its paths. So every wildcard comes from counts, not from how a segment is written, and paths may be of any depth.
+
+A template (a leaf of the merged tree) is rejected if its share of blocked pages among labelled ones, smoothed towards its host's (itself smoothed
+towards one half), is high. Labels come from rules that fix a verdict for hosts and path prefixes; a rule's own verdict always stands. Pages of a
+host without any label have no evidence against them and are allowed.
+
+Pages are counted per host and path before anything is dealt out by host, and each level is counted per branch first, so a hot host or a hot page is
+few rows. Each level is one table in the shared folder. Defined cases: a null url or one without `://` has empty host and path; repeated
+rows get equal verdicts; empty segments do not count; an empty table gives an empty result; further columns are not read.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
+from itertools import count
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stash
+from millrace.llm.common import scratch
 
 
 class Rule(NamedTuple):
@@ -34,8 +39,8 @@ class Rule(NamedTuple):
 
 
 RULES = (Rule("org", "/", "allow"), Rule("example.org", "/es/", "block"), Rule("example.org", "/en/1", "block"), Rule("com", "/fr/", "allow"), Rule("com", "/de/", "block"))
-DEPTH, ALPHA, SMOOTHING, REJECT = 8, 0.05, 4.0, 0.7
-ANY = "*"
+SUPPORT, ALPHA, SMOOTHING, REJECT = 5, 0.05, 4.0, 0.7
+ANY, TAIL = "*", "**"
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -53,37 +58,50 @@ def rule_of(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -> Colu
     return F.coalesce(*fits, F.lit(None).cast("struct<rule:string,verdict:string>"))
 
 
-def shape(path: Column) -> Column:
-    """Segments with the variable parts that show by themselves written as wildcards."""
-    plain = F.regexp_replace(F.regexp_replace(path, "(?<![0-9A-Za-z])[0-9a-fA-F-]{16,}(?![0-9A-Za-z])", "{h}"), "[0-9]+", "{n}")
-    segments = F.filter(F.split(plain, "/"), lambda s: s != "")
-    return F.when(F.size(segments) > DEPTH, F.concat(F.slice(segments, 1, DEPTH - 1), F.array(F.lit(ANY)))).otherwise(segments)
+def segments(path: Column) -> Column:
+    return F.filter(F.split(path, "/"), lambda s: s != "")
 
 
-def _alike(hits: Column, of: Column, all_hits: Column, all_of: Column) -> Column:
-    """Whether a branch's share is within Hoeffding's bound of its siblings'; too little evidence counts as alike."""
-    other = all_of - of
+#: Of a branch: pages, labelled and blocked ones, and paths that end at its segment, one and two segments on.
+_COUNTS = ("n", "labelled", "blocked", "end_0", "end_1", "end_2")
+
+
+def _alike(hits: Column, of: Column, other_hits: Column, other: Column) -> Column:
+    """Whether two shares are within Hoeffding's bound of each other; a side without rows says nothing."""
     bound = math.sqrt(0.5 * math.log(2 / ALPHA)) * (1 / F.sqrt(of) + 1 / F.sqrt(other))
-    return (of == 0) | (other == 0) | (F.abs(hits / of - (all_hits - hits) / other) < bound)
+    return (of == 0) | (other == 0) | (F.abs(hits / of - other_hits / other) < bound)
+
+
+def _merged() -> Column:
+    """Whether a branch becomes the wildcard, from its own counts and those of all branches of its node."""
+    n, rest = F.col("n"), F.col("all_n") - F.col("n")
+    like = [_alike(F.col(c), n, F.col(f"all_{c}") - F.col(c), rest) for c in ("end_0", "end_1", "end_2", "next")]
+    like.append(_alike(F.col("blocked"), F.col("labelled"), F.col("all_blocked") - F.col("blocked"), F.col("all_labelled") - F.col("labelled")))
+    return (F.col("siblings") > 1) & ((n < SUPPORT) | reduce(Column.__and__, like))
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, shape, template) from pages of (host, shape, labelled, blocked)."""
-    counts = ("n", "labelled", "blocked")
-    paths = stash(pages.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("n"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")), "paths")
-    deepest = paths.agg(F.max(F.size("shape")).alias("d")).first().d or 0
-    tree = paths.withColumn("template", F.array().cast("array<string>"))
-    for level in range(1, deepest + 1):
-        at = tree.filter(F.size("shape") >= level).withColumn("branch", F.col("shape")[level - 1])
-        branches = at.groupBy("host", "template", "branch").agg(*(F.sum(c).alias(c) for c in counts), F.sum(F.when(F.size("shape") == level, F.col("n")).otherwise(0)).alias("ends"))
-        pooled = branches.groupBy("host", "template").agg(F.count(F.lit(1)).alias("siblings"), *(F.sum(c).alias(f"all_{c}") for c in (*counts, "ends")))
-        judged = branches.join(pooled, ["host", "template"])
-        merge = (F.col("siblings") > 1) & _alike(F.col("blocked"), F.col("labelled"), F.col("all_blocked"), F.col("all_labelled")) & _alike(F.col("ends"), F.col("n"), F.col("all_ends"), F.col("all_n"))
-        named = judged.select("host", "template", "branch", F.when(merge, F.lit(ANY)).otherwise(F.col("branch")).alias("name"))
-        grown = at.join(named, ["host", "template", "branch"]).withColumn("template", F.concat("template", F.array("name"))).drop("branch", "name")
-        # Written at each level: every level reads its predecessor several times.
-        tree = stash(grown.unionByName(tree.filter(F.size("shape") < level)), f"level-{level}")
-    return tree
+    """(host, path, template, labelled, blocked) from pages of (host, path, labelled, blocked); paths and templates are lists of segments."""
+    spark, folder = pages.sparkSession, scratch(pages.sparkSession, "templates")
+    paths = pages.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
+    tree = paths.select("*", F.array().cast("array<string>").alias("template"), F.col("path").alias("rest"), (F.size("path") == 0).alias("done"))
+    columns = tree.columns
+    for level in count():
+        path = f"{folder}/level={level}"
+        tree.write.parquet(path)
+        at = spark.read.schema(tree.schema).parquet(path).filter("not done").withColumn("branch", F.col("rest")[0])
+        if at.isEmpty():
+            break
+        ends = [F.sum(F.when(F.size("rest") == k + 1, F.col("n")).otherwise(0)).alias(f"end_{k}") for k in range(3)]
+        following = at.groupBy("host", "template", "branch", F.try_element_at("rest", F.lit(2)).alias("following")).agg(*(F.sum(c).alias(c) for c in _COUNTS[:3]), *ends)
+        branches = following.groupBy("host", "template", "branch").agg(*(F.sum(c).alias(c) for c in _COUNTS), F.count(F.lit(1)).alias("next"))
+        nodes = branches.groupBy("host", "template").agg(F.count(F.lit(1)).alias("siblings"), *(F.sum(c).alias(f"all_{c}") for c in (*_COUNTS, "next")))
+        name = F.when(F.col("all_n") < SUPPORT, TAIL).when(_merged(), ANY).otherwise(F.col("branch"))
+        named = branches.join(nodes, ["host", "template"]).select("host", "template", "branch", name.alias("name"))
+        grown = at.join(named, ["host", "template", "branch"]).withColumn("template", F.concat("template", F.array("name")))
+        grown = grown.withColumn("rest", F.slice("rest", 2, F.greatest(F.size("rest"), F.lit(1))))
+        tree = grown.withColumn("done", (F.col("name") == TAIL) | (F.size("rest") == 0)).select(columns)
+    return spark.read.schema(tree.schema).parquet(*(f"{folder}/level={k}" for k in range(level + 1))).filter("done").select("host", "path", "template", "labelled", "blocked")
 
 
 def rejected(tree: DataFrame) -> DataFrame:
@@ -99,11 +117,11 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, page_id: str = "pag
     """page_id, host, path, rule, verdict and template of every row of `pages`."""
     host, path = url_parts(F.col(url))
     read = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
-    read = read.withColumn("fixed", rule_of(F.col("host"), F.col("path"), rules)).withColumn("shape", shape(F.col("path")))
-    seen = read.select("host", "shape", F.col("fixed").isNotNull().cast("long").alias("labelled"), F.coalesce((F.col("fixed.verdict") == "block").cast("long"), F.lit(0)).alias("blocked"))
+    read = read.withColumn("fixed", rule_of(F.col("host"), F.col("path"), rules)).withColumn("steps", segments(F.col("path")))
+    seen = read.select("host", F.col("steps").alias("path"), F.col("fixed").isNotNull().cast("long").alias("labelled"), F.coalesce((F.col("fixed.verdict") == "block").cast("long"), F.lit(0)).alias("blocked"))
     tree = templates(seen)
-    verdicts = tree.select("host", "shape", "template").join(rejected(tree).withColumn("bad", F.lit(True)), ["host", "template"], "left")
-    out = read.join(verdicts, ["host", "shape"], "left")
+    verdicts = tree.select("host", F.col("path").alias("steps"), "template").join(rejected(tree).withColumn("bad", F.lit(True)), ["host", "template"], "left")
+    out = read.join(verdicts, ["host", "steps"], "left")
     return out.select(
         "page_id", "host", "path", F.col("fixed.rule").alias("rule"),
         F.coalesce(F.col("fixed.verdict"), F.when(F.col("bad"), F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
