@@ -16,21 +16,22 @@ MAX_ROWS = 6000
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, max_rows: int = MAX_ROWS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(y, text) of at most `max_rows` labelled documents that are not held out, the first by a hash of their id.
+    """(id, y, text) of at most `max_rows` labelled documents that are not held out, the first by a hash of their id.
 
-    A document with several labels counts as 1 if any says so; labels without a 0 or 1, and null ids, are not used."""
-    known = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull() & ~held_out)
-    known = known.groupBy(F.col(doc_id).alias("__id")).agg(F.max(label).cast("int").alias("y"))
-    chosen = known.orderBy(F.xxhash64("__id"), "__id").limit(max_rows)
-    return docs.join(F.broadcast(chosen), F.col(doc_id) == F.col("__id")).select("y", F.col("__id").alias("id"), text_bytes(text).alias("text"))
+    A document with several labels counts as 1 if any says so; labels without a 0 or 1, and null ids, are not used. Further columns of either table are not read."""
+    known = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull() & ~held_out).select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y"))
+    chosen = known.groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(max_rows)
+    texts = docs.select(F.col(doc_id).alias("id"), text_bytes(text).alias("text"))
+    # Of an id's texts the least, so that repeated ids take up one row.
+    return texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.first("y").alias("y"), F.min("text").alias("text"))
 
 
-def fit_once(rows: DataFrame, fit: Callable[[list[bytes], list[int]], object], max_rows: int = MAX_ROWS) -> object:
+def fit_once(rows: DataFrame, fit: Callable[[list[bytes], list[int]], object]) -> object:
     """Runs `fit` on the bounded sample in one executor task and returns its (small) model."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["id", "text"], kind="stable").drop_duplicates("id")
+        part = part.sort_values("id", kind="stable")
         return pd.DataFrame({"model": [pickle.dumps(fit(part["text"].tolist(), part["y"].tolist()))]})
 
-    got = rows.limit(max_rows).groupBy().applyInPandas(run, "model binary").collect()
+    got = rows.groupBy().applyInPandas(run, "model binary").collect()
     return pickle.loads(got[0].model) if got else fit([], [])

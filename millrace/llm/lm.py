@@ -1,24 +1,29 @@
 """Language-model scoring with a weighted backoff automaton.
 
-The model is a bigram model smoothed towards add-one unigrams (a Dirichlet prior of weight `PRIOR`), held as an automaton: a
-state for each history, an arc for each seen bigram, and from each state a failure arc to the root whose weight is the mass
-left over; the root has an arc for every word. A text is read once from left to right, carrying the state.
+The model smooths n-grams of up to `ORDER` tokens: P(w | h) = (count(h, w) + prior * P(w | shorter h)) / (count(h) + prior), with one prior for each
+length, down to add-one unigrams. It is held as an automaton: a state for each history seen, an arc for each n-gram seen from its history, and
+from each state a failure arc to the state of the history without its first word, whose weight is the mass left over; failure arcs chain down to the root,
+which has an arc for every word. A text is read once from left to right, carrying the state, and the weights met are added up.
 
 The model grows with the corpus, so no task holds all of it. Texts are dealt to blocks of about `BLOCK_BYTES`; each block
 sends its distinct n-grams with their counts, packed by hash bucket; a bucket adds up the counts of all blocks and answers
 each block in the same order; a block then builds the automaton of its own n-grams and reads its texts. Every n-gram of
-every training document counts. No bucket or block grows with the corpus, and a frequent n-gram costs one entry a block.
+every training document counts. No bucket or block grows with the corpus, and a frequent n-gram costs one entry a block. A block sends one row for
+each bucket it has something for, so rows grow with blocks times buckets at first and never beyond one for each distinct n-gram of a block.
 
-Defined cases: null and empty texts are one end token; without training tokens every probability is 1; repeated rows count
+Words are known by 63-bit and longer n-grams by 56-bit hashes: counts are exact but for collisions, whose chance for one n-gram is the number of distinct ones
+divided by 2**56. Defined cases: null and empty texts are one end token; without training tokens every probability is 1; repeated rows count
 and score as rows of their own; null ids are training rows; an empty table gives an empty result; further columns are not read.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,8 +32,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 from millrace.llm.common import portions, remainder, stash, text_bytes, word_hashes
 
 MODULUS, HELD_OUT = 7, 2
-PRIOR = 1000.0
-BLOCK_BYTES = 6 << 20
+#: Weight of the shorter history's probabilities, for histories of one word, of two words and so on; one more than their number is the order.
+PRIORS = (1000.0, 20.0)
+BLOCK_BYTES = 4 << 20
 _END, _BEGIN = np.uint64(3), np.uint64(5)
 
 
@@ -43,132 +49,183 @@ def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Block:
-    """Distinct words and bigrams of a block of texts. Bigrams are known by 56-bit hashes."""
+    """Distinct n-grams of a block of texts, for each length: `grams[k]` their hashes in ascending order and `at[k]` the number of the
+    n-gram that ends at each token (-1: the text has no such n-gram there, as it would begin before the text's begin mark)."""
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], order: int):
         tokens, self.first = _tokens(texts)
-        before = np.concatenate([[_BEGIN], tokens[:-1]])
-        before[self.first[:-1]] = _BEGIN
-        pairs = (before * np.uint64(0x9E3779B97F4A7C15)) ^ (tokens * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9))
-        pairs ^= pairs >> np.uint64(31)
-        pairs = (pairs * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(8)
-        self.words, self.word_at = np.unique(tokens, return_inverse=True)
-        self.pairs, self.pair_at = np.unique(pairs, return_inverse=True)
-
-    def places(self, buckets: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
-        """Bucket, and the places of its words and of its pairs, in ascending order of hash."""
-        split = []
-        for hashes in (self.words, self.pairs):
+        place = np.arange(len(tokens)) - np.repeat(self.first[:-1], np.diff(self.first))
+        self.grams, self.at = [], []
+        gram = tokens
+        for k in range(order):
+            if k:
+                # The n-gram one shorter that ends at the token before, and this token.
+                before = np.concatenate([[_BEGIN], gram[:-1]])
+                if k == 1:
+                    before[self.first[:-1]] = _BEGIN
+                gram = (before * np.uint64(0x9E3779B97F4A7C15)) ^ (tokens * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9 + k))
+                gram ^= gram >> np.uint64(31)
+                gram = (gram * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(8)
+            there = place >= k - 1
+            distinct, at = np.unique(gram[there], return_inverse=True)
+            number = np.full(len(tokens), -1, np.int32)
+            number[there] = at
+            self.grams.append(distinct)
+            self.at.append(number)
+
+    def places(self, buckets: int) -> list[tuple[int, list[np.ndarray]]]:
+        """Bucket, and the places of its n-grams of each length in ascending order of hash; only buckets that have some."""
+        split, used = [], []
+        for hashes in self.grams:
             of = (hashes % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(of, kind="stable")
-            split.append((order, np.searchsorted(of[order], np.arange(buckets + 1))))
-        (w, we), (p, pe) = split
-        return [(b, w[we[b] : we[b + 1]], p[pe[b] : pe[b + 1]]) for b in range(buckets) if we[b] < we[b + 1] or pe[b] < pe[b + 1]]
+            names, begins = np.unique(of[order], return_index=True)
+            split.append(dict(zip(names.tolist(), np.split(order, begins[1:]), strict=True)))
+            used.append(names)
+        none = np.zeros(0, np.int64)
+        return [(b, [part.get(b, none) for part in split]) for b in np.unique(np.concatenate(used)).tolist()]
 
 
-def _pack7(hashes: np.ndarray) -> bytes:
-    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
+def _packed(numbers: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(numbers, "<u8").view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
-def _unpack7(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 7, 8), np.uint8)
-    out[:, :7] = np.frombuffer(data, np.uint8).reshape(-1, 7)
+def _unpacked(data: bytes) -> np.ndarray:
+    """Numbers are packed by byte planes: most counts are small, so most planes are empty."""
+    return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1).T).reshape(-1).view("<u8")
+
+
+def _wide(k: int) -> int:
+    return 8 if k == 0 else 7
+
+
+def _pack(hashes: np.ndarray, width: int) -> bytes:
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _unpack(data: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
     return out.view("<u8").reshape(-1)
 
 
-def _send(buckets: int):
+def _send(buckets: int, order: int):
     def run(block: pa.Table) -> pa.Table:
-        texts = block["text"].to_pylist()
-        own = _Block(texts)
+        own = _Block(block["text"].to_pylist(), order)
         learnt = np.repeat(block["train"].to_numpy(zero_copy_only=False).astype(float), np.diff(own.first))
-        words, pairs = (np.bincount(at, learnt, size).astype("<u4") for at, size in ((own.word_at, len(own.words)), (own.pair_at, len(own.pairs))))
-        name = block["block"][0].as_py()
-        rows = [(b, name, own.words[w].astype("<u8").tobytes(), words[w].tobytes(), _pack7(own.pairs[p]), pairs[p].tobytes()) for b, w, p in own.places(buckets)]
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), pa.int64(), *[pa.binary()] * 4], strict=True)], ["bucket", "block", "words", "word_counts", "pairs", "pair_counts"])
+        counts = [np.bincount(at[at >= 0], learnt[at >= 0], len(grams)).astype("<u8") for grams, at in zip(own.grams, own.at, strict=True)]
+        name, rows = block["block"][0].as_py(), []
+        for b, places in own.places(buckets):
+            hashes = b"".join(_pack(own.grams[k][p], _wide(k)) for k, p in enumerate(places))
+            rows.append((b, name, [len(p) for p in places], hashes, _packed(np.concatenate([counts[k][p] for k, p in enumerate(places)]))))
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.binary()], strict=True)], ["bucket", "block", "sizes", "hashes", "counts"])
 
     return run
 
 
-def _add_up(hashes: list[np.ndarray], counts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """Each sender's totals, in the order it sent; the totals of all distinct hashes."""
-    distinct, at = np.unique(np.concatenate(hashes), return_inverse=True)
-    total = np.bincount(at, np.concatenate([np.frombuffer(c, "<u4") for c in counts]), len(distinct)).astype("<u8")
-    cuts = np.cumsum([len(h) for h in hashes])[:-1]
-    return [x.tobytes() for x in np.split(total[at], cuts)], total
-
-
 def _answer(sent: pa.Table) -> pa.Table:
-    words, all_words = _add_up([np.frombuffer(x, "<u8") for x in sent["words"].to_pylist()], sent["word_counts"].to_pylist())
-    pairs, _ = _add_up([_unpack7(x) for x in sent["pairs"].to_pylist()], sent["pair_counts"].to_pylist())
-    rest = np.zeros(len(words) - 1, np.int64)
+    """Totals of each sender's n-grams in the order it sent them; with the first, tokens and distinct words in training."""
+    sizes = sent["sizes"].to_pylist()
+    order = len(sizes[0])
+    counts = [np.split(_unpacked(c), np.cumsum(s)[:-1]) for c, s in zip(sent["counts"].to_pylist(), sizes, strict=True)]
+    cuts = [np.cumsum([0, *(n * _wide(k) for k, n in enumerate(s))]) for s in sizes]
+    totals: list[list[np.ndarray]] = [[] for _ in sizes]
+    for k in range(order):
+        mine = [_unpack(h[c[k] : c[k + 1]], _wide(k)) for h, c in zip((x.as_py() for x in sent["hashes"]), cuts, strict=True)]
+        distinct, at = np.unique(np.concatenate(mine), return_inverse=True)
+        total = np.bincount(at, np.concatenate([c[k] for c in counts]), len(distinct)).astype("<u8")
+        for out, part in zip(totals, np.split(total[at], np.cumsum([len(m) for m in mine])[:-1]), strict=True):
+            out.append(part)
+        if k == 0:
+            tokens, types = int(total.sum()), int((total > 0).sum())
+    rest = np.zeros(len(sizes) - 1, np.int64)
     return pa.table({
-        "block": sent["block"], "bucket": sent["bucket"], "words": pa.array(words, pa.binary()), "pairs": pa.array(pairs, pa.binary()),
-        "tokens": np.concatenate([[int(all_words.sum())], rest]), "types": np.concatenate([[int((all_words > 0).sum())], rest]),
+        "block": sent["block"], "bucket": sent["bucket"], "totals": pa.array([_packed(np.concatenate(t)) for t in totals], pa.binary()),
+        "tokens": np.concatenate([[tokens], rest]), "types": np.concatenate([[types], rest]),
     })
 
 
 class Automaton:
-    """Backoff automaton in arrays: arcs hold log10 weights (nan: no such arc, so the failure arc is taken), root[word] those
-    of the root's arcs, fail[state] that of a state's arc to the root; a state is the word last read (`begin` before the first)."""
-
-    def __init__(self, arcs: np.ndarray, root: np.ndarray, fail: np.ndarray):
-        self.arcs, self.root, self.fail = arcs, root, fail
-
-    def read(self, words: np.ndarray, arcs: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Log10 probability of each text. One pass over the words from left to right: the state each leaves is carried to
-        the next, each text starts anew, and weights add up per text. arcs: number of the arc from state and word."""
-        state = np.concatenate([[len(self.fail) - 1], words[:-1]])
-        state[first[:-1]] = len(self.fail) - 1
-        weight = self.arcs[arcs]
-        failed = np.isnan(weight)
-        weight[failed] = self.fail[state[failed]] + self.root[words[failed]]
+    """Backoff automaton in arrays, for each length k of an n-gram: arcs[k] the log10 weight of each n-gram's arc from its history (nan: no such
+    arc), fail[k] that of the failure arc of each history of k words (0 where there is no such state). The root's arcs are arcs[0]."""
+
+    def __init__(self, arcs: Sequence[np.ndarray], fail: Sequence[np.ndarray]):
+        self.arcs, self.fail = arcs, fail
+
+    def read(self, at: Sequence[np.ndarray], history: Sequence[np.ndarray], first: np.ndarray) -> np.ndarray:
+        """Log10 probability of each text. at[k]: the n-gram of k + 1 words that ends at each token; history[k]: the number of the history of k
+        words before it (-1: none). A token is looked for from the longest history's state on, down the chain of failure arcs."""
+        weight = np.zeros(len(at[0]))
+        looking = np.arange(len(at[0]))
+        for k in range(len(at) - 1, -1, -1):
+            here = looking[at[k][looking] >= 0]
+            arc = self.arcs[k][at[k][here]]
+            seen = ~np.isnan(arc)
+            weight[here[seen]] += arc[seen]
+            missed = here[~seen]
+            weight[missed] += self.fail[k][history[k][missed]]
+            looking = np.union1d(looking[at[k][looking] < 0], missed)
         return np.add.reduceat(weight, first[:-1])
 
 
-def _score(tokens_seen: int, types_seen: int, buckets: int, id_type: pa.DataType, prior: float):
+def _score(tokens_seen: int, types_seen: int, buckets: int, id_type: pa.DataType, priors: tuple[float, ...]):
+    order = len(priors) + 1
+
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
-        own = _Block(block["text"].to_pylist())
-        got = {r["bucket"]: r for r in answers.to_pylist()}
-        word_count, pair_count = np.zeros(len(own.words)), np.zeros(len(own.pairs))
-        for b, w, p in own.places(buckets):
-            word_count[w], pair_count[p] = np.frombuffer(got[b]["words"], "<u8"), np.frombuffer(got[b]["pairs"], "<u8")
-        unigram = (word_count + 1) / (tokens_seen + types_seen + 1)
-        begin = len(own.words)
-        end = int(np.searchsorted(own.words, _END))
-        history = np.append(word_count, word_count[end])
-        with np.errstate(divide="ignore"):
-            fail = np.where(history > 0, np.log10(prior / (history + prior)), 0.0)
-        before = np.concatenate([[begin], own.word_at[:-1]])
-        before[own.first[:-1]] = begin
-        _, sample = np.unique(own.pair_at, return_index=True)
-        h, w = before[sample], own.word_at[sample]
-        seen = pair_count > 0
-        weight = np.log10((pair_count + prior * unigram[w]) / (history[h] + prior))
-        machine = Automaton(np.where(seen, weight, np.nan), np.log10(unigram), fail)
-        base, known = np.log10(unigram)[own.word_at], (word_count > 0)[own.word_at]
+        own = _Block(block["text"].to_pylist(), order)
+        got = dict(zip(answers["bucket"].to_pylist(), answers["totals"].to_pylist(), strict=True))
+        count = [np.zeros(len(g)) for g in own.grams]
+        for b, places in own.places(buckets):
+            for k, part in enumerate(np.split(_unpacked(got[b]), np.cumsum([len(p) for p in places])[:-1])):
+                count[k][places[k]] = part
+        unigram = (count[0] + 1) / (tokens_seen + types_seen + 1)
+        begin, end = len(count[0]), int(np.searchsorted(own.grams[0], _END))
+        arcs, fail, history = [np.log10(unigram)], [np.zeros(0)], [np.zeros(0, np.int64)]
+        shorter = unigram[own.at[0]]  # probability of each token given the shorter history
+        for k in range(1, order):
+            # The history of a token's n-gram is the n-gram one shorter that ends at the token before; a begin mark is as frequent as an end.
+            before = np.concatenate([[-1], own.at[k - 1][:-1]])
+            seen = count[k - 1]
+            if k == 1:
+                before[own.first[:-1]] = begin
+                seen = np.append(seen, seen[end])
+            there = np.flatnonzero(own.at[k] >= 0)
+            mine, past = own.at[k][there], seen[before[there]]
+            smooth = (count[k][mine] + priors[k - 1] * shorter[there]) / (past + priors[k - 1])
+            arc = np.full(len(count[k]), np.nan)
+            arc[mine] = np.where(count[k][mine] > 0, np.log10(smooth), np.nan)
+            arcs.append(arc)
+            fail.append(np.where(seen > 0, np.log10(priors[k - 1] / (seen + priors[k - 1])), 0.0))
+            history.append(before)
+            shorter[there] = smooth
+        base, known = np.log10(unigram)[own.at[0]], (count[0] > 0)[own.at[0]]
         cut = own.first[:-1]
         return pa.table({
             "doc_id": block["doc_id"].cast(id_type), "held_out": block["held_out"],
             "n_tokens": np.diff(own.first), "n_known": np.add.reduceat(known.astype(np.int64), cut),
             "train_tokens": np.full(len(cut), tokens_seen, np.int64), "base_score": np.add.reduceat(base, cut),
-            "score": machine.read(own.word_at, own.pair_at, own.first),
+            "score": Automaton(arcs, fail).read(own.at, history, own.first),
         })
 
     return run
 
 
-def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", prior: float = PRIOR, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score (unigrams) and score (the automaton) of every row."""
+def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", prior: float | None = None, block_bytes: int = BLOCK_BYTES, priors: tuple[float, ...] = PRIORS) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score (unigrams) and score (the automaton) of every row.
+
+    `priors` sets the smoothing and with it the order; `prior` is short for that of a bigram model."""
+    priors = priors if prior is None else (prior,)
+    order = len(priors) + 1
     held_out = F.coalesce(remainder(doc_id, MODULUS) == HELD_OUT, F.lit(False))
     size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first().n or 0
     blocks = max(1, math.ceil(size / block_bytes))
     buckets = max(1, blocks // 2)
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_bytes(text).alias("text"), held_out.alias("held_out"))
     rows = rows.withColumn("train", ~F.col("held_out")).withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-    sent = rows.select("block", "text", "train").groupBy("block").applyInArrow(_send(buckets), "bucket int, block long, words binary, word_counts binary, pairs binary, pair_counts binary")
-    answers = stash(sent.groupBy("bucket").applyInArrow(_answer, "block long, bucket int, words binary, pairs binary, tokens long, types long"), "ngrams")
+    sent = rows.select("block", "text", "train").groupBy("block").applyInArrow(_send(buckets, order), "bucket int, block long, sizes array<int>, hashes binary, counts binary")
+    answers = stash(sent.groupBy("bucket").applyInArrow(_answer, "block long, bucket int, totals binary, tokens long, types long"), "ngrams")
     seen = answers.agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types")).first()
     kind = docs.schema[doc_id].dataType
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType()), *(T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
-    run = _score(seen.tokens or 0, seen.types or 0, buckets, to_arrow_type(kind), prior)
-    return rows.select("doc_id", "text", "held_out", "block").groupBy("block").cogroup(answers.select("block", "bucket", "words", "pairs").groupBy("block")).applyInArrow(run, schema)
+    run = _score(seen.tokens or 0, seen.types or 0, buckets, to_arrow_type(kind), priors)
+    return rows.select("doc_id", "text", "held_out", "block").groupBy("block").cogroup(answers.select("block", "bucket", "totals").groupBy("block")).applyInArrow(run, schema)

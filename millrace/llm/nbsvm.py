@@ -102,6 +102,6 @@ def scorer(spark: SparkSession, model: tuple[np.ndarray, float, float, float]):
 def judge(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text", max_rows: int = MAX_ROWS) -> DataFrame:
     """doc_id, held_out, score and predicted for every row of `docs`; labels of held-out ids are never learnt from."""
     held_out = F.coalesce(remainder(doc_id, MODULUS) == HELD_OUT, F.lit(False))
-    model = fit_once(sample(docs, labels, label, held_out, max_rows, doc_id, text), fit, max_rows)
+    model = fit_once(sample(docs, labels, label, held_out, max_rows, doc_id, text), fit)
     scored = docs.select(F.col(doc_id).alias("doc_id"), held_out.alias("held_out"), scorer(docs.sparkSession, model)(text_bytes(text)).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from millrace.llm.common import remainder, small_batches, text_bytes, words_of
+from millrace.llm.common import fresh, remainder, small_batches, text_bytes, words_of
 from millrace.llm.labelled import fit_once, sample
 from millrace.llm.svm import calibrate, dual_coordinate_descent, probability
 
@@ -199,7 +199,7 @@ def scorer(spark: SparkSession, model: Model):
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text", max_rows: int = MAX_ROWS) -> Model:
-    return fit_once(sample(docs, labels, label, held_out(doc_id), max_rows, doc_id, text), fit, max_rows)
+    return fit_once(sample(docs, labels, label, held_out(doc_id), max_rows, doc_id, text), fit)
 
 
 def held_out(doc_id: str) -> Column:
@@ -216,4 +216,5 @@ def judge(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
 def keep_clean(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` that score below the threshold, with all their columns."""
     score = scorer(docs.sparkSession, train(docs, labels, label, doc_id, text))
-    return docs.withColumn("__toxicity", score(text_bytes(text))).filter(F.col("__toxicity") < THRESHOLD).drop("__toxicity")
+    mark = fresh("toxicity", docs)
+    return docs.withColumn(mark, score(text_bytes(text))).filter(F.col(mark) < THRESHOLD).drop(mark)
