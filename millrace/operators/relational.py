@@ -75,21 +75,36 @@ def lookup_roles(df: DataFrame, dim: DataFrame, dim_key: str, roles: dict[str, s
     return df
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, component, size) of the nodes of edges (a, b): the smallest node reachable. Alternating star steps, each
-    written to the shared folder, in a number that grows with the logarithm of the longest path."""
+def salted_join(many: DataFrame, one: DataFrame, key: str, by: str, parts: int = 16) -> DataFrame:
+    """Inner join on a key that may be hot in `many`: its rows are dealt to `parts` shares by another column, and the few rows of `one` go to each."""
+    dealt = many.withColumn("__part", F.pmod(F.xxhash64(by), F.lit(parts)).cast("int"))
+    return dealt.join(one.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))), [key, "__part"]).drop("__part")
+
+
+def component_labels(edges: DataFrame) -> DataFrame:
+    """(node, component) of the nodes of edges (a, b): the smallest node reachable.
+
+    Alternating star steps: every node's larger neighbours, then its smaller ones, are hung on its smallest neighbour. Each step is
+    written to the shared folder, and their number grows with the logarithm of the longest path. A node with very many
+    neighbours is found by a pre-aggregated minimum, which is then brought to its edges in shares."""
     edges = settle(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        up = both.filter("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        up = salted_join(both.filter("b > a"), lowest, "a", "b").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = up.groupBy("a").agg(F.min("b").alias("m"))
-        down = up.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+        down = salted_join(up, least, "a", "b").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         edges = settle(down.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
-        if edges.join(edges.select(F.col("b").alias("a")), "a", "left_semi").isEmpty() and edges.groupBy("a").count().filter("count > 1").isEmpty():
-            break
-    named = edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-    return named.join(named.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component").select("node", "component", "size")
+        centres = edges.select(F.col("b").alias("a")).distinct()
+        if edges.join(centres, "a", "left_semi").isEmpty() and edges.groupBy("a").count().filter("count > 1").isEmpty():
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(centres.select(F.col("a").alias("node"), F.col("a").alias("component")))
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
+    """(node, component, size) of the nodes of edges (a, b): the smallest node reachable, and how many nodes reach it."""
+    named = component_labels(edges)
+    sizes = named.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    return salted_join(named, sizes, "component", "node").select("node", "component", "size")
 
 
 def reference_closure(focal: DataFrame, edges: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
