@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -10,6 +9,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.shared import shared_folder
+
 #: The six ASCII white-space characters that separate words; `bytes.split()` splits at exactly these.
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -18,18 +19,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
-
-
 def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/millrace-{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/millrace-{name}-{uuid.uuid4().hex}"
 
 
 def stash(df: DataFrame, name: str) -> DataFrame:

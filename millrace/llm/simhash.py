@@ -26,11 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from millrace.llm.common import small_batches, stash, text_bytes, words_of
+from millrace.llm.common import fresh, small_batches, stash, text_bytes, words_of
+from millrace.operators.relational import component_labels, salted_join
 
 SHINGLE, SEED, RADIUS, BITS = 3, 42, 2, 64
 #: Fingerprints that a tile holds on average, the most before it is cut, and the block compared at once.
 TILE_ROWS, TILE_MAX, BLOCK = 1024, 8192, 512
+#: Copies of a fingerprint beyond which its documents are dealt to several tasks, and to how many.
+HOT, SHARES = 100_000, 64
 
 
 def fingerprint(text: bytes) -> int:
@@ -128,39 +131,28 @@ def links(distinct: DataFrame, n: int, radius: int = RADIUS, tile_rows: int = TI
 
 
 def spread(edges: DataFrame) -> DataFrame:
-    """(node, label): the smallest node reachable, for each node of an edge.
-
-    Alternates star steps: every node's larger neighbours, then its smaller ones, are hung on its smallest neighbour. Each
-    step is written to the shared folder, and the number of steps grows with the logarithm of the longest path."""
-    edges = stash(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        small_low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(small_low, "a").select(F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e")).select("e.a", "e.b")
-        after = stash(small.filter("a != b").distinct(), "edges")
-        hung = after.groupBy("a").count().filter("count > 1").isEmpty()
-        flat = after.join(after.select(F.col("a").alias("b")), "b", "left_semi").isEmpty()
-        edges = after
-        if hung and flat:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(edges.select("b", "b").distinct().toDF("node", "label"))
+    """(node, label): the smallest node reachable, for each node of an edge."""
+    return component_labels(edges).select("node", F.col("component").alias("label"))
 
 
 def _labelled(distinct: DataFrame, radius: int) -> DataFrame:
-    """fp, first and the class label of every fingerprint of `distinct`."""
+    """The rows of `distinct` (one a fingerprint) with the class label of each."""
     labels = spread(links(distinct.select("fp"), distinct.count(), radius))
-    return distinct.join(labels, distinct.fp == labels.node, "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
+    return distinct.join(labels, distinct.fp == labels.node, "left").withColumn("label", F.coalesce("label", "fp")).drop("node")
 
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id for every row of `docs`."""
     found = stash(fingerprints(docs, doc_id, text), "fingerprints")
-    distinct = stash(found.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    distinct = stash(found.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")), "distinct")
     named = _labelled(distinct, radius)
     classes = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    member = named.select("fp", "label").join(classes, "label").select("fp", "component_id")
-    return found.join(member, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    member = salted_join(named, classes, "label", "fp").select("fp", "component_id", "copies")
+    # A fingerprint of very many documents is dealt to several tasks; there are at most (documents / HOT) of them.
+    hot = distinct.filter(F.col("copies") > HOT).select("fp", F.lit(SHARES).alias("shares"))
+    dealt = found.join(F.broadcast(hot), "fp", "left").withColumn("share", F.pmod(F.xxhash64("doc_id"), F.coalesce("shares", F.lit(1))).cast("int"))
+    member = member.withColumn("share", F.explode(F.sequence(F.lit(0), F.when(F.col("copies") > HOT, SHARES - 1).otherwise(0))))
+    return dealt.join(member, ["fp", "share"]).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
@@ -169,10 +161,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius
     A row is known by its id and its text's digest, so neither null nor repeated ids join rows of different texts; of rows
     alike in both any one stays."""
     small_batches(docs.sparkSession)
+    mark, kept, kept_digest = fresh("digest", docs), fresh("keep", docs), fresh("keep_digest", docs)
     digest = F.md5(text_bytes(text))
     found = stash(docs.select(F.col(doc_id).alias("doc_id"), _fingerprint(text_bytes(text)).alias("fp"), digest.alias("digest")), "fingerprints")
     distinct = stash(found.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp", "digest")).alias("first")), "distinct")
-    survivors = _labelled(distinct, radius).groupBy("label").agg(F.min("first").alias("k")).select(F.col("k.doc_id").alias("__keep"), F.col("k.digest").alias("__keep_digest"))
-    stay = docs.withColumn("__digest", digest).join(survivors, F.col(doc_id).eqNullSafe(F.col("__keep")) & (F.col("__digest") == F.col("__keep_digest")), "left_semi")
+    survivors = _labelled(distinct, radius).groupBy("label").agg(F.min("first").alias("k")).select(F.col("k.doc_id").alias(kept), F.col("k.digest").alias(kept_digest))
+    stay = docs.withColumn(mark, digest).join(survivors, F.col(doc_id).eqNullSafe(F.col(kept)) & (F.col(mark) == F.col(kept_digest)), "left_semi")
     repeated = not found.groupBy("doc_id", "digest").count().filter("count > 1").isEmpty()
-    return (stay.dropDuplicates([doc_id, "__digest"]) if repeated else stay).drop("__digest")
+    return (stay.dropDuplicates([doc_id, mark]) if repeated else stay).drop(mark)

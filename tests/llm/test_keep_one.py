@@ -17,3 +17,16 @@ def test_one_row_of_each_class_stays_whatever_the_ids(spark):
         assert sorted(got, key=str) == sorted(want, key=str)
     assert simhash.keep_one(frame).columns == frame.columns
     assert simhash.keep_one(frame.limit(0)).count() == 0
+
+
+def test_clashing_columns_and_long_texts(spark):
+    frame = spark.createDataFrame([(1, A, "p", 1), (2, A, "q", 2), (None, "word " * 200_000, None, None)], "doc_id long, text string, __digest string, __keep int")
+    got = simhash.keep_one(frame)
+    assert got.columns == frame.columns and sorted(got.collect(), key=str) == sorted([frame.collect()[0], frame.collect()[2]], key=str)
+
+
+def test_hot_fingerprints_are_dealt_out(spark, monkeypatch):
+    frame = spark.createDataFrame([(k, A if k % 3 else f"{B} {k}", "x") for k in range(60)], "doc_id long, text string, fp string")
+    want = sorted(simhash.components(frame).collect())
+    monkeypatch.setattr(simhash, "HOT", 5)
+    assert sorted(simhash.components(frame).collect()) == want and len(want) == 60
