@@ -11,8 +11,8 @@ each block in the same order; a block then builds the automaton of its own n-gra
 every training document counts. No bucket or block grows with the corpus, and a frequent n-gram costs one entry a block. A block sends one row for
 each bucket it has something for, so rows grow with blocks times buckets at first and never beyond one for each distinct n-gram of a block.
 
-Words are known by 63-bit and longer n-grams by 56-bit hashes: counts are exact but for collisions, whose chance for one n-gram is the number of distinct ones
-divided by 2**56. Defined cases: null and empty texts are one end token; without training tokens every probability is 1; repeated rows count
+Words are known by 63-bit hashes, and longer n-grams by 40 bits within their bucket, so their counts are exact but for collisions, whose chance for one n-gram is
+the number of a bucket's divided by 2**40, some millionths at every size of the corpus. Defined cases: null and empty texts are one end token; without training tokens every probability is 1; repeated rows count
 and score as rows of their own; null ids are training rows; an empty table gives an empty result; further columns are not read.
 """
 
@@ -33,7 +33,7 @@ from millrace.llm.common import portions, remainder, stash, text_bytes, word_has
 
 MODULUS, HELD_OUT = 7, 2
 #: Weight of the shorter history's probabilities, for histories of one word, of two words and so on; one more than their number is the order.
-PRIORS = (1000.0, 20.0)
+PRIORS = (300.0,)
 BLOCK_BYTES = 4 << 20
 _END, _BEGIN = np.uint64(3), np.uint64(5)
 
@@ -74,7 +74,7 @@ class _Block:
             self.at.append(number)
 
     def places(self, buckets: int) -> list[tuple[int, list[np.ndarray]]]:
-        """Bucket, and the places of its n-grams of each length in ascending order of hash; only buckets that have some."""
+        """Bucket, and the places of its n-grams of each length in a fixed order; only buckets that have some."""
         split, used = [], []
         for hashes in self.grams:
             of = (hashes % np.uint64(buckets)).astype(np.int64)
@@ -96,7 +96,8 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def _wide(k: int) -> int:
-    return 8 if k == 0 else 7
+    """Bytes by which a bucket knows an n-gram of k + 1 words."""
+    return 8 if k == 0 else 5
 
 
 def _pack(hashes: np.ndarray, width: int) -> bytes:
@@ -116,7 +117,7 @@ def _send(buckets: int, order: int):
         counts = [np.bincount(at[at >= 0], learnt[at >= 0], len(grams)).astype("<u8") for grams, at in zip(own.grams, own.at, strict=True)]
         name, rows = block["block"][0].as_py(), []
         for b, places in own.places(buckets):
-            hashes = b"".join(_pack(own.grams[k][p], _wide(k)) for k, p in enumerate(places))
+            hashes = b"".join(_pack(own.grams[k][p] if k == 0 else own.grams[k][p] // np.uint64(buckets), _wide(k)) for k, p in enumerate(places))
             rows.append((b, name, [len(p) for p in places], hashes, _packed(np.concatenate([counts[k][p] for k, p in enumerate(places)]))))
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.binary()], strict=True)], ["bucket", "block", "sizes", "hashes", "counts"])
 

@@ -55,11 +55,12 @@ def test_probabilities_of_all_words_sum_to_one(spark):
     train = [t for k, t in data if k not in held]
     vocabulary = sorted({w for t in train for w in t.encode().lower().split()}) + [b"never-seen"]
     free = [k for k in range(10_000, 30_000) if zlib.crc32(str(k).encode()) % 7 == 2]
-    model = Dictionary(train, lm.PRIORS)
+    priors = (50.0, 2.0)
+    model = Dictionary(train, priors)
     for history in (["of", "the"], ["the"], [], ["unheard", "of"]):
         ids = free[: len(vocabulary) + 1]
         probes = [(k, " ".join([*history, w.decode()])) for k, w in zip(ids, vocabulary, strict=False)] + [(ids[-1], " ".join(history))]
-        got = {r.doc_id: r.score for r in lm.score(spark.createDataFrame(data + probes, "doc_id long, text string")).filter("doc_id >= 10000").collect()}
+        got = {r.doc_id: r.score for r in lm.score(spark.createDataFrame(data + probes, "doc_id long, text string"), priors=priors).filter("doc_id >= 10000").collect()}
         tokens = ["<s>", *(h.encode() for h in history)]
         before = sum(math.log10(model.probability(tuple(tokens[max(0, i - 2) : i]), tokens[i])) for i in range(1, len(tokens)))
         total = 0.0
