@@ -11,7 +11,7 @@ towards one half), is high. Labels come from rules that fix a verdict for hosts
 host without any label have no evidence against them and are allowed.
 
 Pages are counted per host and path before anything is dealt out by host, and each level is counted per branch first, so a hot host or a hot page is
-few rows. Each level is one table in the shared folder. Defined cases: a null url or one without `://` has empty host and path; repeated
+few rows; a node with very many branches meets their totals in shares. Each level is one table in the shared folder. Defined cases: a null url or one without `://` has empty host and path; repeated
 rows get equal verdicts; empty segments do not count; an empty table gives an empty result; further columns are not read.
 """
 
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import scratch
+from millrace.operators.relational import salted_join
 
 
 class Rule(NamedTuple):
@@ -97,8 +98,8 @@ def templates(pages: DataFrame) -> DataFrame:
         branches = following.groupBy("host", "template", "branch").agg(*(F.sum(c).alias(c) for c in _COUNTS), F.count(F.lit(1)).alias("next"))
         nodes = branches.groupBy("host", "template").agg(F.count(F.lit(1)).alias("siblings"), *(F.sum(c).alias(f"all_{c}") for c in (*_COUNTS, "next")))
         name = F.when(F.col("all_n") < SUPPORT, TAIL).when(_merged(), ANY).otherwise(F.col("branch"))
-        named = branches.join(nodes, ["host", "template"]).select("host", "template", "branch", name.alias("name"))
-        grown = at.join(named, ["host", "template", "branch"]).withColumn("template", F.concat("template", F.array("name")))
+        named = salted_join(branches, nodes, ["host", "template"], "branch").select("host", "template", "branch", name.alias("name"))
+        grown = salted_join(at, named, ["host", "template", "branch"], "rest").withColumn("template", F.concat("template", F.array("name")))
         grown = grown.withColumn("rest", F.slice("rest", 2, F.greatest(F.size("rest"), F.lit(1))))
         tree = grown.withColumn("done", (F.col("name") == TAIL) | (F.size("rest") == 0)).select(columns)
     return spark.read.schema(tree.schema).parquet(*(f"{folder}/level={k}" for k in range(level + 1))).filter("done").select("host", "path", "template", "labelled", "blocked")
