@@ -13,6 +13,7 @@ as they are by `keep_good`, whatever their names.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,11 +72,11 @@ def statistics(text: bytes) -> tuple[int, ...]:
     distinct = len(seen)
     lower, upper = (len(solid) - len(solid.translate(None, alphabet)) for alphabet in (_LOWER, _UPPER))
     shapes = text.translate(_SHAPES)
-    kinds = shapes.split()
+    kinds = Counter(shapes.split())
     votes = [
         _vote(symbols / n, 0.03, 0.15),
-        _vote(sum(b"#" in k for k in kinds) / n, 0.03, 0.1),
-        _vote(sum(b"a" not in k for k in kinds) / n, 0.05, 0.15),
+        _vote(sum(c for k, c in kinds.items() if b"#" in k) / n, 0.03, 0.1),
+        _vote(sum(c for k, c in kinds.items() if b"a" not in k) / n, 0.05, 0.15),
         _vote(shapes.count(b"##") / n, 0.02, 0.1),
         1 if 0 < dup_lines < 3 else _vote(dup_lines / len(lines), 0.1, 0.3),
         _vote(repeated / n, 0.15, 0.3),
