@@ -176,9 +176,45 @@ def best_and_second(df: DataFrame, key: str, score: str, tie: str) -> DataFrame:
     return df.select("*", F.row_number().over(by).alias("__n"), F.lead(tie).over(by).alias(f"second_{tie}"), F.lead(score).over(by).alias(f"second_{score}")).filter("__n = 1").drop("__n")
 
 
+def numbered(df: DataFrame, key: Sequence[str], order: Sequence[Column], number: str = "number", first: str = "is_first") -> DataFrame:
+    """Rows with their place in their series, from 1, and whether they are its first."""
+    n = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    return df.withColumn(number, n).withColumn(first, F.col(number) == 1)
+
+
+def with_latest(df: DataFrame, rows: DataFrame, key: str, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Each row with some columns of the latest row of its key (null without one); the latest is reduced before it is joined."""
+    last = rows.groupBy(key).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("__last"))
+    return df.join(last, key, "left").select(*df.columns, *(F.col(f"__last.{c}").alias(c) for c in columns))
+
+
+def decided_join(df: DataFrame, decisions: DataFrame, keys: Sequence[Sequence[str]], decision: str, wanted: str, columns: Sequence[str]) -> DataFrame:
+    """Rows with columns of the decision `wanted` that fits one of several keys, an earlier key before a later one; of several decisions the greatest."""
+    found = df
+    for k, on in enumerate(keys):
+        one = decisions.filter(F.col(decision) == wanted).groupBy(*on).agg(F.max(F.struct(*columns)).alias(f"__{k}"))
+        found = found.join(one, list(on), "left")
+    return found.select(*df.columns, *(F.coalesce(*(F.col(f"__{k}.{c}") for k in range(len(keys)))).alias(c) for c in columns))
+
+
 # --- sorts, samples, sets
 
 
+def scopes_first(df: DataFrame, scope: str, *then: str, whole: str = "all") -> DataFrame:
+    """Rows in order: the whole before its parts, then by scope and further columns."""
+    return df.orderBy((F.col(scope) == whole).desc(), F.asc_nulls_last(scope), *(F.asc_nulls_last(c) for c in then))
+
+
+def latest_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The latest n rows of a series; as a limited sort, no task holds more than n."""
+    return df.orderBy(*(F.desc(c) for c in order)).limit(n)
+
+
+def only_if(df: DataFrame, wanted: bool) -> DataFrame:
+    """The table, or none of its rows where the input is switched off."""
+    return df if wanted else df.filter(F.lit(False))
+
+
 def stable_sample(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
     """The first n rows by a hash of seed and id: the same rows on every run."""
     return df.orderBy(F.md5(F.concat(F.lit(str(seed)), F.col(id_col).cast("string"))), id_col).limit(n)

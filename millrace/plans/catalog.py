@@ -3,33 +3,18 @@ equivalent for DuckDB under the same name."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as c
 from millrace.operators import changes, identity, quality, relational, resources, views
+from millrace.plans.registry import QUERIES, SQL, query
 from millrace.sources.files import table
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
 AS_OF = "2001-09-28"
 LATE_DAYS = 60
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        QUERIES[name] = f
-        if sql is not None:
-            SQL[name] = sql
-        return f
-
-    return register
-
-
 # --- claim roll-up with integrity flags (the flagship), dimensions and facts
 
 _SPANS_SQL = """
@@ -642,3 +627,8 @@ def x01(spark: SparkSession, sf_dir: str) -> DataFrame:
     visible = members.join(customers.filter("c_acctbal < 0").select("c_custkey"), "c_custkey", "left_anti")
     orders = table(spark, sf_dir, "orders").filter(c.within_lookback(F.col("o_orderdate").cast("date"), F.lit(AS_OF).cast("date"), 60))
     return orders.join(visible, F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("o_orderkey", "o_custkey")
+
+
+from millrace.plans import jobs  # noqa: E402, F401  (registers its queries)
+
+__all__ = ["QUERIES", "SQL", "fct_claims"]
