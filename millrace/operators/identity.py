@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from millrace.operators.relational import candidate_pairs, connected_components, stack, unique_or_ambiguous
+from millrace.functions.columns import precision_recall
+from millrace.operators.relational import connected_components, stack, unique_or_ambiguous
 
 
 def jaro_winkler(a: str, b: str) -> float:
@@ -110,18 +111,71 @@ def estimate_m(pairs: DataFrame, comparisons: Sequence[Comparison], u: dict[str,
     return m, prior
 
 
-def score(pairs: DataFrame, comparisons: Sequence[Comparison], m: dict, u: dict, prior: float, threshold: float = 0.01) -> DataFrame:
-    """match_weight (log2 odds) and match_probability of pairs that reach the threshold."""
+def prior_from_rules(found: int, left: int, right: int | None = None, recall: float = 0.8) -> float:
+    """Share of matches among all pairs, when rules that find `recall` of them find so many. Without `right` the pairs are those within one table."""
+    possible = left * right if right is not None else left * (left - 1) / 2
+    return min(max(found / recall / max(possible, 1), 1e-12), 0.5)
+
+
+def random_pairs(left: DataFrame, right: DataFrame, n: int = 2_000_000, seed: int = 42) -> DataFrame:
+    """About n pairs drawn at random, the same on every run: both sides are dealt to as many buckets by a hash of seed and id as make n pairs meet."""
+    sizes = left.agg(F.count(F.lit(1)).alias("l")).crossJoin(right.agg(F.count(F.lit(1)).alias("r"))).first()
+    buckets = max(1, sizes.l * sizes.r // n)
+    dealt = [df.withColumn("__b", F.pmod(F.xxhash64(F.lit(seed + k), id_col), F.lit(buckets))) for k, (df, id_col) in enumerate(((left, "id_l"), (right, "id_r")))]
+    return dealt[0].join(dealt[1], "__b").drop("__b")
+
+
+def train_m(blocks: Sequence[tuple[DataFrame, Sequence[str]]], comparisons: Sequence[Comparison], u: dict[str, dict[int, float]], prior: float) -> dict[str, dict[int, float]]:
+    """m by one pass of EM for each training block (its pairs, and the comparisons that its blocking rule fixes and cannot teach); averaged over the passes."""
+    taught: dict[str, list[dict[int, float]]] = {c.name: [] for c in comparisons}
+    for pairs, fixed in blocks:
+        free = [c for c in comparisons if c.name not in fixed]
+        m, _ = estimate_m(pairs, free, u, prior)
+        for name, levels in m.items():
+            taught[name].append(levels)
+    return {name: {k: sum(p[k] for p in passes) / len(passes) for k in passes[0]} for name, passes in taught.items() if passes}
+
+
+def score(pairs: DataFrame, comparisons: Sequence[Comparison], m: dict, u: dict, prior: float, threshold: float = 0.01, frequency: dict[str, Column] | None = None) -> DataFrame:
+    """match_weight (log2 odds) and match_probability of pairs that reach the threshold.
+
+    `frequency`: for some comparisons the share of people that have the value agreed on, which stands for u at the first level: rare values say more."""
     weight = F.lit(math.log2(prior / (1 - prior)))
     for c in comparisons:
         step = F.lit(0.0)
         for k in range(len(c.levels) + 1):
-            step = F.when(F.col(f"gamma_{c.name}") == k, F.lit(math.log2(m[c.name][k] / u[c.name][k]))).otherwise(step)
+            here = F.lit(math.log2(m[c.name][k] / u[c.name][k]))
+            if k == 0 and frequency and c.name in frequency:
+                here = F.log2(F.lit(m[c.name][0]) / F.coalesce(frequency[c.name], F.lit(u[c.name][0])))
+            step = F.when(F.col(f"gamma_{c.name}") == k, here).otherwise(step)
         weight = weight + step
     scored = pairs.withColumn("match_weight", weight).withColumn("match_probability", 1 / (1 + F.pow(F.lit(2.0), -F.col("match_weight"))))
     return scored.filter(F.col("match_probability") >= threshold)
 
 
+# --- people of several sources
+
+
+def harmonise(sources: dict[str, tuple[DataFrame, dict[str, Column]]], nicknames: DataFrame, first: str = "first") -> DataFrame:
+    """source and the columns of one person shape, from sources with an expression for each; and `canonical`, the full first name.
+
+    nicknames (a small table): nick, name; a nick of several names stands for the least."""
+    people = stack(*(df.select(F.lit(name).alias("source"), *(x.alias(c) for c, x in shape.items())) for name, (df, shape) in sources.items()))
+    full = nicknames.groupBy(F.col("nick").alias("__nick")).agg(F.min("name").alias("__name"))
+    return people.join(F.broadcast(full), F.col(first) == F.col("__nick"), "left").withColumn("canonical", F.coalesce("__name", first)).drop("__nick", "__name")
+
+
+def name_levels(a: Column, b: Column, same_person: Column, similarity: Column, name: str, cuts: Sequence[float] = (0.92, 0.88, 0.7)) -> Comparison:
+    """First names: equal, one a nickname of the other, then by similarity."""
+    return Comparison(name, a.isNull() | b.isNull(), (a == b, same_person, *(similarity >= cut for cut in cuts)))
+
+
+def date_levels(a: Column, b: Column, name: str) -> Comparison:
+    """Dates: equal, one character apart as written, within a month, a year, ten years."""
+    days = F.abs(F.datediff(a, b))
+    return Comparison(name, a.isNull() | b.isNull(), (a == b, F.levenshtein(a.cast("string"), b.cast("string")) <= 1, days <= 31, days <= 366, days <= 3653))
+
+
 def deterministic_match(left: DataFrame, right: DataFrame, rules: dict[str, Sequence[str]]) -> DataFrame:
     """id_l, its one candidate id_r (null where rules find several), candidates, and the rules that found any, in order."""
     found = stack(*(
@@ -136,10 +190,77 @@ def decide_pairs(scores: DataFrame, auto: float = 0.95, review: float = 0.5) ->
     return scores.withColumn("decision", F.when(p >= auto, "accept").when(p >= review, "review").otherwise("reject"))
 
 
+def decide_guarded(scores: DataFrame, reviews: DataFrame, disagrees: Column, auto: float = 0.95, review: float = 0.5) -> DataFrame:
+    """decision, reason and decided_by of scored pairs.
+
+    Pairs above `auto` are accepted, but for guards that send them to review: the first names disagree, or one side has another pair above `auto`.
+    A reviewer's decision (reviews: id_l, id_r, decision) stands before all else. The other strong pairs are counted per side before they are joined."""
+    p = F.col("match_probability")
+    strong = scores.filter(p >= auto)
+    for side in ("id_l", "id_r"):
+        counted = strong.groupBy(side).agg(F.count(F.lit(1)).alias(f"__strong_{side}"))
+        scores = scores.join(counted, side, "left")
+    said = reviews.groupBy("id_l", "id_r").agg(F.max("decision").alias("__said"))
+    rivals = F.coalesce(F.greatest("__strong_id_l", "__strong_id_r"), F.lit(0)) > 1
+    reason = F.when(F.col("__said").isNotNull(), "reviewed").when(p < review, "low score").when(p < auto, "middling score").when(disagrees, "first name disagrees").when(rivals, "several strong candidates").otherwise("high score")
+    decided = scores.join(said, ["id_l", "id_r"], "left").withColumn("reason", reason)
+    decision = F.coalesce("__said", F.when(F.col("reason") == "low score", "reject").when(F.col("reason") == "high score", "accept").otherwise("review"))
+    return decided.withColumn("decision", decision).withColumn("decided_by", F.when(F.col("__said").isNotNull(), "reviewer").otherwise("rules")).drop("__said", "__strong_id_l", "__strong_id_r")
+
+
+def cross_reference(people: DataFrame, deterministic: DataFrame, scores: DataFrame, reviews: DataFrame, auto: float = 0.95, review: float = 0.5, margin: float = 0.0) -> DataFrame:
+    """id, best, second, linked, status and reason of each person.
+
+    people: id. deterministic: id_l, id_r (the one candidate of the rules). scores: id_l, id_r, match_probability. reviews: id_l, id_r, decision.
+    A reviewer's accepted pair is linked; else the rules' candidate or the best scored one above `auto` is proposed, unless it was rejected by a
+    reviewer or the runner-up comes within `margin`; a candidate proposed for several people is linked to none of them."""
+    rejected = reviews.filter("decision = 'reject'").select("id_l", "id_r").distinct()
+    open_scores = scores.join(rejected, ["id_l", "id_r"], "left_anti").select("id_l", "id_r", "match_probability")
+    ranked = F.struct(F.col("match_probability").alias("p"), (-F.col("id_r")).alias("k"))
+    first = open_scores.groupBy("id_l").agg(F.max(ranked).alias("b"))
+    runner = open_scores.join(first, "id_l").filter(-F.col("id_r") != F.col("b.k")).groupBy("id_l").agg(F.max(ranked).alias("s"))
+    top = first.join(runner, "id_l", "left").select(F.col("id_l").alias("id"), (-F.col("b.k")).alias("best"), F.col("b.p").alias("p"), (-F.col("s.k")).alias("second"), F.coalesce("s.p", F.lit(0.0)).alias("p2"))
+    rules = deterministic.join(rejected, ["id_l", "id_r"], "left_anti").filter("id_r IS NOT NULL").groupBy(F.col("id_l").alias("id")).agg(F.min("id_r").alias("by_rule"))
+    accepted = reviews.filter("decision = 'accept'").groupBy(F.col("id_l").alias("id")).agg(F.min("id_r").alias("by_review"))
+    all_ = people.select("id").join(top, "id", "left").join(rules, "id", "left").join(accepted, "id", "left")
+    clear = (F.col("p") >= auto) & (F.col("p") - F.col("p2") > margin)
+    proposed = all_.withColumn("proposed", F.coalesce("by_review", "by_rule", F.when(clear, F.col("best"))))
+    claims = proposed.filter("proposed IS NOT NULL").groupBy("proposed").agg(F.count(F.lit(1)).alias("claims"))
+    found = proposed.join(claims, "proposed", "left")
+    reason = (
+        F.when(F.col("claims") > 1, "claimed twice").when(F.col("by_review").isNotNull(), "reviewer").when(F.col("by_rule").isNotNull(), "rules").when(clear, "score")
+        .when(F.col("p") >= auto, "several strong candidates").when(F.col("p") >= review, "middling score").otherwise("no candidate")
+    )
+    linked = reason.isin("reviewer", "rules", "score")
+    status = F.when(linked, "linked").when(reason == "no candidate", "unlinked").otherwise("review")
+    return found.select("id", "best", "second", F.when(linked, F.col("proposed")).alias("linked"), status.alias("status"), reason.alias("reason"))
+
+
+def review_queue(decided: DataFrame, people_l: DataFrame, people_r: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Pairs that wait for a reviewer, with both people's columns side by side."""
+    waiting = decided.filter("decision = 'review'").select("id_l", "id_r", "match_probability", "reason")
+    sides = [people.select(F.col("id").alias(f"id_{s}"), *(F.col(c).alias(f"{c}_{s}") for c in columns)) for s, people in (("l", people_l), ("r", people_r))]
+    return waiting.join(sides[0], "id_l").join(sides[1], "id_r")
+
+
+def decision_audit(reviews: DataFrame, decided: DataFrame) -> DataFrame:
+    """Each reviewed pair with whether its decision is applied, or stale because the pair is no longer scored."""
+    now = decided.select("id_l", "id_r", F.col("decision").alias("__now"))
+    return reviews.join(now, ["id_l", "id_r"], "left").select(*reviews.columns, F.when(F.col("__now").isNull(), "stale").when(F.col("__now") == F.col("decision"), "applied").otherwise("overridden").alias("state"))
+
+
+def match_quality(links: DataFrame, truth: DataFrame, scope: DataFrame) -> DataFrame:
+    """scope, hits, predicted, actual, precision and recall of links against true links, for all and for each scope of the left side.
+
+    links and truth: id_l, id_r. scope: id_l, scope. Links of a person without a scope count in all alone."""
+    both = links.select("id_l", "id_r").distinct().withColumn("p", F.lit(1)).join(truth.select("id_l", "id_r").distinct().withColumn("t", F.lit(1)), ["id_l", "id_r"], "full")
+    tagged = both.join(scope.select("id_l", "scope"), "id_l", "left").select("p", "t", F.explode(F.array_distinct(F.array(F.lit("all"), F.coalesce("scope", F.lit("all"))))).alias("scope"))
+    counted = tagged.groupBy("scope").agg(F.count_if(F.col("p").isNotNull() & F.col("t").isNotNull()).alias("hits"), F.count("p").alias("predicted"), F.count("t").alias("actual"))
+    precision, recall = precision_recall(F.col("hits"), F.col("predicted"), F.col("actual"))
+    return counted.select("scope", "hits", "predicted", "actual", precision.alias("precision"), recall.alias("recall"))
+
+
 def persons(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """person_id (smallest id of its component) and size for every node."""
     found = connected_components(pairs.select(F.col("id_l").alias("a"), F.col("id_r").alias("b")))
     return nodes.join(found, nodes.id == found.node, "left").select("id", F.coalesce("component", "id").alias("person_id"), F.coalesce("size", F.lit(1)).alias("size"))
-
-
-__all__ = ["candidate_pairs", "Comparison", "compare", "decide_pairs", "deterministic_match", "estimate_m", "gamma_shares", "jaro_winkler", "persons", "score", "similar_names", "term_frequencies"]
