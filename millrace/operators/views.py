@@ -6,6 +6,8 @@ A column takes the one value of its expression and raises an error where there a
 
 from __future__ import annotations
 
+import operator
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -16,20 +18,32 @@ Focus = Callable[[Column], Column]
 _KIND = "array<variant>"
 
 
+def _none() -> Column:
+    return F.array().cast(_KIND)
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is worked out once, as the only element of a list."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def single(items: Column) -> Column:
+    return F.try_element_at(items, F.lit(1))
+
+
+def _is_number(v: Column) -> Column:
+    return ~F.schema_of_variant(v).isin("STRING", "BOOLEAN", "VOID") & F.try_variant_get(v, "$", "double").isNotNull()
+
+
 @dataclass(frozen=True)
 class Expr:
     run: Focus
 
     def get(self, name: str) -> Expr:
-        def step(items: Column) -> Column:
-            def one(v: Column) -> Column:
-                member = F.try_variant_get(v, f"$.{name}", "variant")
-                many = F.try_variant_get(v, f"$.{name}", _KIND)
-                return F.when(member.isNull() | F.is_variant_null(member), F.array().cast(_KIND)).otherwise(F.coalesce(many, F.array(member)))
-
-            return F.flatten(F.transform(items, one))
+        def one(v: Column) -> Column:
+            return bound(F.try_variant_get(v, f"$.{name}", "variant"), lambda m: F.when(m.isNull() | F.is_variant_null(m), _none()).otherwise(F.coalesce(F.try_variant_get(m, "$", _KIND), F.array(m))))
 
-        return Expr(lambda c: step(self.run(c)))
+        return Expr(lambda c: F.flatten(F.transform(self.run(c), one)))
 
     def path(self, dotted: str) -> Expr:
         out = self
@@ -50,6 +64,56 @@ class Expr:
         """Items whose member `name` equals a text."""
         return Expr(lambda c: F.filter(self.run(c), lambda v: F.coalesce(F.try_variant_get(v, f"$.{name}", "string") == value, F.lit(False))))
 
+    def filter(self, test: Callable[[Expr], Focus]) -> Expr:
+        """Items for which a condition on the item itself holds; an empty condition does not hold."""
+        return Expr(lambda c: F.filter(self.run(c), lambda v: F.coalesce(test(this())(F.array(v)), F.lit(False))))
+
+    def compare(self, op: str, other: Expr) -> Focus:
+        """`=`, `!=`, `<`, `<=`, `>` or `>=` of the one value of each side: numbers as numbers, all else as text; null where a side is empty."""
+        ops: dict[str, Callable[[Column, Column], Column]] = {"=": operator.eq, "!=": operator.ne, "<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge}
+        test = ops[op]
+
+        def values(x: Column, y: Column) -> Column:
+            both = _is_number(x) & _is_number(y)
+            return F.when(both, test(F.try_variant_get(x, "$", "double"), F.try_variant_get(y, "$", "double"))).otherwise(test(x.cast("string"), y.cast("string")))
+
+        return lambda c: bound(single(self.run(c)), lambda x: bound(single(other.run(c)), lambda y: F.when(x.isNotNull() & y.isNotNull(), values(x, y))))
+
+    def arithmetic(self, op: str, other: Expr) -> Expr:
+        """`+`, `-`, `*` or `/` of the one value of each side: whole numbers stay whole but for `/`; nothing where a side is empty or no number."""
+        ops: dict[str, Callable[[Column, Column], Column]] = {"+": operator.add, "-": operator.sub, "*": operator.mul, "/": F.try_divide}
+        make = ops[op]
+
+        def values(x: Column, y: Column) -> Column:
+            as_ = lambda kind: make(F.try_variant_get(x, "$", kind), F.try_variant_get(y, "$", kind)).cast("variant")
+            whole = F.schema_of_variant(x).isin("BIGINT") & F.schema_of_variant(y).isin("BIGINT") & F.lit(op != "/")
+            return F.when(_is_number(x) & _is_number(y), F.when(whole, as_("bigint")).otherwise(as_("double")))
+
+        found = lambda c: bound(single(self.run(c)), lambda x: bound(single(other.run(c)), lambda y: F.when(x.isNotNull() & y.isNotNull(), values(x, y))))
+        return Expr(lambda c: bound(found(c), lambda v: F.when(v.isNull(), _none()).otherwise(F.array(v))))
+
+    def union(self, other: Expr) -> Expr:
+        """The items of both, each value once, where it comes first."""
+
+        def distinct(items: Column) -> Column:
+            return bound(F.transform(items, lambda v: F.to_json(v)), lambda texts: F.filter(items, lambda v, k: F.array_position(texts, F.to_json(v)) == k + 1))
+
+        return Expr(lambda c: bound(F.concat(self.run(c), other.run(c)), distinct))
+
+    def repeat(self, *names: str, depth: int = 10) -> Expr:
+        """Members of these names, theirs and so on, each before its own, to a depth."""
+
+        def below(v: Column, left: int) -> Column:
+            children = F.concat(*(this().get(name).run(F.array(v)) for name in names))
+            return children if left == 1 else F.flatten(F.transform(children, lambda x: F.concat(F.array(x), below(x, left - 1))))
+
+        return Expr(lambda c: F.flatten(F.transform(self.run(c), lambda v: below(v, depth))))
+
+    def values_of(self, kind: str) -> Expr:
+        """Items whose own value is of a type: text, boolean, integer or decimal."""
+        kinds = {"string": ["STRING"], "boolean": ["BOOLEAN"], "integer": ["BIGINT"]}
+        return Expr(lambda c: F.filter(self.run(c), lambda v: F.schema_of_variant(v).isin(*kinds[kind]) if kind in kinds else _is_number(v) & ~F.schema_of_variant(v).isin("BIGINT")))
+
     def extension(self, url: str) -> Expr:
         return self.get("extension").where("url", url)
 
@@ -72,8 +136,33 @@ class Expr:
     def join(self, sep: str) -> Focus:
         return lambda c: F.array_join(self.texts()(c), sep)
 
-    def reference_key(self) -> Focus:
-        return lambda c: F.regexp_replace(F.try_element_at(self.get("reference").texts()(c), F.lit(1)), "^.*[/:]", "")
+    def reference_key(self, kind: str | None = None) -> Focus:
+        """The id of a reference; with a type, only of references to it."""
+        text = lambda c: single(self.get("reference").texts()(c))
+        return lambda c: F.when(text(c).rlike(f"(^|/){kind}/[^/]+$") if kind else F.lit(True), F.regexp_replace(text(c), "^.*[/:]", ""))
+
+    def resource_key(self) -> Focus:
+        return lambda c: single(self.get("id").texts()(c))
+
+
+def negated(test: Focus) -> Focus:
+    return lambda c: ~test(c)
+
+
+def both(a: Focus, b: Focus) -> Focus:
+    return lambda c: a(c) & b(c)
+
+
+def either(a: Focus, b: Focus) -> Focus:
+    return lambda c: a(c) | b(c)
+
+
+def one_of_two(a: Focus, b: Focus) -> Focus:
+    return lambda c: a(c) != b(c)
+
+
+def constant(value: str | int | float | bool) -> Expr:
+    return Expr(lambda c: F.array(F.lit(value).cast("variant")))
 
 
 def this() -> Expr:
@@ -97,8 +186,8 @@ class Col:
         values = self.expr.run(focus)
         if self.collection:
             return F.transform(values, lambda v: v.cast(self.type)).alias(self.name)
-        one = F.try_element_at(values, F.lit(1)).cast(self.type)
-        return F.when(F.size(values) > 1, F.raise_error(F.lit(f"{self.name} has several values"))).otherwise(one).alias(self.name)
+        error = F.raise_error(F.lit(f"{self.name} has several values"))
+        return bound(values, lambda v: F.when(F.size(v) > 1, error).otherwise(single(v).cast(self.type))).alias(self.name)
 
 
 @dataclass(frozen=True)
@@ -108,6 +197,7 @@ class Select:
     or_null: bool = False
     row_index: str | None = None
     select: Sequence[Select] = ()
+    union_all: Sequence[Select] = ()
 
 
 @dataclass(frozen=True)
@@ -118,16 +208,47 @@ class View:
 
 
 def _names(part: Select) -> list[str]:
-    return [c.name for c in part.columns] + ([part.row_index] if part.row_index else []) + [n for s in part.select for n in _names(s)]
+    of_branches = _names(part.union_all[0]) if part.union_all else []
+    return [c.name for c in part.columns] + ([part.row_index] if part.row_index else []) + [n for s in part.select for n in _names(s)] + of_branches
 
 
-def flatten_view(df: DataFrame, view: View, keep: Sequence[str] = (), resource: str = "resource") -> DataFrame:
-    """Rows of a view over documents of its resource type. Nested selects multiply, like a join of their rows."""
+def _parts(selects: Sequence[Select]) -> list[Select]:
+    return [x for s in selects for x in (s, *_parts(s.select), *_parts(s.union_all))]
+
+
+def validate(view: View) -> None:
+    """Raises ValueError for names that repeat or are none, unions of unequal columns, and parts that exclude each other."""
     names = [n for s in view.select for n in _names(s)]
     if len(names) != len(set(names)):
         raise ValueError(f"column names repeat: {names}")
-    out = df.filter(F.try_variant_get(resource, "$.resourceType", "string") == view.resource).withColumn("__0", F.array(F.col(resource)))
-    for test in view.where:
+    if bad := [n for n in names if not re.fullmatch("[A-Za-z][A-Za-z0-9_]*", n)]:
+        raise ValueError(f"not column names: {bad}")
+    for part in _parts(view.select):
+        if part.or_null and part.for_each is None:
+            raise ValueError("`or_null` without `for_each`")
+        if part.row_index and part.for_each is None:
+            raise ValueError("`row_index` without `for_each`")
+        kinds = [[(c.name, c.type, c.collection) for c in branch.columns] for branch in part.union_all]
+        if any(k != kinds[0] for k in kinds):
+            raise ValueError("branches of a union differ in their columns")
+        if any(branch.select or branch.union_all or branch.row_index or branch.or_null for branch in part.union_all):
+            raise ValueError("branches of a union hold columns and `for_each` alone")
+
+
+def _tagged(items: Column, n: int) -> Column:
+    return F.transform(items, lambda v: F.struct(F.lit(n).alias("n"), v.alias("v")))
+
+
+def flatten_view(df: DataFrame, view: View, keep: Sequence[str] = (), resource: str = "resource") -> DataFrame:
+    """Rows of a view over documents of its resource type. Nested selects multiply, like a join of their rows; branches of a union add up.
+
+    A document is brought in by a generator, so it is parsed once, whatever reads it. A test in `where` must be boolean."""
+    validate(view)
+    out = df.select(*keep, F.explode(F.array(F.col(resource))).alias("__resource"))
+    out = out.filter(F.try_variant_get("__resource", "$.resourceType", "string") == view.resource).withColumn("__0", F.array("__resource"))
+    for k, test in enumerate(view.where):
+        if out.select(test(F.col("__0")).alias("t")).schema["t"].dataType.typeName() != "boolean":
+            raise ValueError(f"condition {k} is not boolean")
         out = out.filter(F.coalesce(test(F.col("__0")), F.lit(False)))
     done: list[str] = []
 
@@ -147,6 +268,17 @@ def flatten_view(df: DataFrame, view: View, keep: Sequence[str] = (), resource:
                 frame = frame.withColumn(c.name, c.column(F.col(inner)))
                 done.append(c.name)
             frame = apply(frame, part.select, inner, depth * 10 + k + 1)
+            if part.union_all:
+                # Each branch's items are tagged and taken apart in one pass.
+                tagged = [_tagged(F.col(inner) if b.for_each is None else b.for_each.run(F.col(inner)), n) for n, b in enumerate(part.union_all)]
+                name = f"__union_{depth}_{k}"
+                frame = frame.select(*frame.columns, F.explode(F.concat(*tagged)).alias(name))
+                for place, c in enumerate(part.union_all[0].columns):
+                    value = F.lit(None)
+                    for n, b in enumerate(part.union_all):
+                        value = F.when(F.col(f"{name}.n") == n, b.columns[place].column(F.array(F.col(f"{name}.v")))).otherwise(value)
+                    frame = frame.withColumn(c.name, value)
+                    done.append(c.name)
         return frame
 
     return apply(out, view.select, "__0", 1).select(*keep, *done)
