@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
 
 
 def decode(c: Column, mapping: Mapping[str, str], otherwise: str | None = None) -> Column:
@@ -71,14 +74,14 @@ def norm_zip(c: Column) -> Column:
     return F.nullif(F.substring(F.regexp_replace(c, "[^0-9]", ""), 1, 5), F.lit(""))
 
 
-# Latin letters with accents, and the letters without.
-_ACCENTED = "áàâäãåçéèêëíìîïñóòôöõúùûüýÿÁÀÂÄÃÅÇÉÈÊËÍÌÎÏÑÓÒÔÖÕÚÙÛÜÝ"
-_PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
+@pandas_udf(T.StringType())
+def _plain_letters(texts: pd.Series) -> pd.Series:
+    return texts.str.normalize("NFKD").str.lower().str.replace("[^a-z]", "", regex=True)
 
 
 def norm_ascii(c: Column) -> Column:
-    """Lower-case letters without accents or anything else."""
-    return F.regexp_replace(F.lower(F.translate(c, _ACCENTED, _PLAIN)), "[^a-z]", "")
+    """Lower-case letters without accents or anything else: characters are decomposed (NFKD) and what is not a letter of a-z is dropped."""
+    return _plain_letters(c)
 
 
 def full_match(c: Column, pattern: str) -> Column:
@@ -158,3 +161,14 @@ def rate_pct(when: Column, digits: int = 1) -> Column:
 def exact_sum(c: Column, digits: int = 2) -> Column:
     """Aggregate: sum that doesn't depend on the order of rows."""
     return F.sum(c.cast(f"decimal(18,{digits})")).cast("double")
+
+
+def typed(c: Column, kind: str) -> Column:
+    """A text as a type, null where it is not one."""
+    return F.nullif(F.trim(c), F.lit("")).try_cast(kind)
+
+
+def release_year_start(at: Column, month: int = 10) -> Column:
+    """The first day of the release year that a date lies in."""
+    year = F.year(at)
+    return F.when(F.month(at) >= month, F.make_date(year, F.lit(month), F.lit(1))).otherwise(F.make_date(year - 1, F.lit(month), F.lit(1)))

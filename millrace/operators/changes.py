@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.columns import lsn_to_long
-from millrace.operators.relational import latest_per_key
+from millrace.operators.relational import bag_difference, gap_seconds, latest_per_key, stack
 
 
 def decode_changes(messages: DataFrame, after_lsn: int) -> DataFrame:
@@ -22,24 +23,67 @@ def decode_changes(messages: DataFrame, after_lsn: int) -> DataFrame:
     return rows.join(commits, "xid").select("tbl", "op", "lsn", seq.alias("seq"), "commit_ts", "payload")
 
 
+def _latest(changes: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The latest change per key by (position, sequence), reduced before the shuffle: a key with very many changes is one row a task."""
+    rest = [c for c in changes.columns if c not in key]
+    return changes.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct("_lsn", "_seq")).alias("__row")).select(*(F.col(c) if c in key else F.col(f"__row.{c}").alias(c) for c in changes.columns))
+
+
+def route_changes(changes: DataFrame, schemas: dict[str, T.StructType], op: str = "op") -> dict[str, DataFrame]:
+    """One change table per source table: its payload's columns, typed by the schema, and the change columns.
+
+    changes: tbl, op, lsn, seq, commit_ts, payload (JSON text). Numbers keep the digits they are written with until they are cast; a
+    value that does not fit its type is null. Each table is a filter of the same batch, to be cached by the caller if read more than once."""
+    out = {}
+    for name, schema in schemas.items():
+        texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+        body = changes.filter(F.col("tbl") == name).withColumn("__p", F.from_json("payload", texts))
+        columns = [F.col(f"__p.{f.name}").try_cast(f.dataType).alias(f.name) for f in schema]
+        out[name] = body.select(*columns, F.col(op).alias("_op"), F.col("lsn").alias("_lsn"), F.col("seq").alias("_seq"), F.col("commit_ts").alias("_commit_ts"))
+    return out
+
+
+def reconcile(tables: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """table, only_state, only_source: rows (as bags) that a state and its source do not share, for each table."""
+    return stack(*(bag_difference(state, source.select(*state.columns)).select(F.lit(name).alias("table"), F.col("only_a").alias("only_state"), F.col("only_b").alias("only_source")) for name, (state, source) in tables.items()))
+
+
+def snapshot_needed(tables: DataFrame, states: DataFrame, health: DataFrame) -> DataFrame:
+    """table, reason of the tables that must be snapshot anew. tables: table, slot_name. states: table, rows. health: slot_name, problems (of `slot_health`)."""
+    lost = health.filter(F.array_contains("problems", "lost")).select("slot_name").withColumn("__lost", F.lit(True))
+    seen = states.groupBy("table").agg(F.sum("rows").alias("__rows"))
+    found = tables.join(seen, "table", "left").join(F.broadcast(lost), "slot_name", "left")
+    reason = F.when(F.col("__rows").isNull(), "no table").when(F.col("__rows") == 0, "no state").when(F.col("__lost"), "slot lost")
+    return found.select("table", reason.alias("reason")).filter("reason IS NOT NULL")
+
+
+def slot_lag(observations: DataFrame) -> DataFrame:
+    """slot_name, observations, longest gap in seconds between them, median and greatest retained bytes, and the latest status."""
+    gaps = gap_seconds(observations, "slot_name", "observed_at", "retained_bytes")
+    return gaps.groupBy("slot_name").agg(
+        F.count(F.lit(1)).alias("observations"), F.max("gap_s").alias("longest_gap_s"), F.percentile("retained_bytes", 0.5).alias("median_bytes"), F.max("retained_bytes").alias("most_bytes"),
+        F.max_by("wal_status", F.struct("observed_at", "retained_bytes")).alias("last_status"),
+    )
+
+
 def current_state(changes: DataFrame, key: Sequence[str], up_to: int | None = None) -> DataFrame:
     """Rows alive: after the last truncation, the latest change per key by (position, sequence), deletes left out."""
     if up_to is not None:
         changes = changes.filter(F.col("_lsn") <= up_to)
     cut = changes.agg(F.max(F.when(F.col("_op") == "T", F.struct("_lsn", "_seq"))).alias("cut"))
     live = changes.filter("_op <> 'T'").crossJoin(F.broadcast(cut)).filter(F.col("cut").isNull() | (F.struct("_lsn", "_seq") > F.col("cut"))).drop("cut")
-    return latest_per_key(live, key, [F.desc("_lsn"), F.desc("_seq")]).filter("_op <> 'D'")
+    return _latest(live, key).filter("_op <> 'D'")
 
 
 def changes_after(changes: DataFrame, key: Sequence[str], lsn: int) -> DataFrame:
     """The latest change per key beyond a position, deletes among them."""
-    return latest_per_key(changes.filter((F.col("_lsn") > lsn) & (F.col("_op") != "T")), key, [F.desc("_lsn"), F.desc("_seq")])
+    return _latest(changes.filter((F.col("_lsn") > lsn) & (F.col("_op") != "T")), key)
 
 
 def merge_state(state: DataFrame, delta: DataFrame, key: Sequence[str]) -> DataFrame:
     """State with the delta's keys replaced; tombstones stay, so a replayed older change can't bring a row back."""
     both = state.unionByName(delta, allowMissingColumns=True)
-    return latest_per_key(both, key, [F.desc("_lsn"), F.desc("_seq")])
+    return _latest(both, key)
 
 
 def last_cut(changes: DataFrame) -> tuple[int, int] | None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -118,7 +119,7 @@ def latest_per_factor(runs: DataFrame, factor: str, at: str) -> DataFrame:
 def scale_summary(metrics: DataFrame, runs: DataFrame, factor: str, at: str, wanted: Sequence[str]) -> DataFrame:
     """One row for each factor's latest run, with the wanted metrics as columns. runs: run_key, factor, at; metrics: run_key, metric, value."""
     last = latest_per_factor(runs.select("run_key", factor, at), factor, at)
-    return metrics.join(last, "run_key").groupBy(factor, "run_key").pivot("metric", list(wanted)).agg(F.max("value"))
+    return metrics.select("run_key", "metric", "value").join(last, "run_key").groupBy(factor, "run_key").pivot("metric", list(wanted)).agg(F.max("value"))
 
 
 def kpi_row(history: DataFrame, metric: str, at: str) -> DataFrame:
@@ -132,3 +133,8 @@ def issue_summary(issues: DataFrame, known: Column, unverified: Column) -> DataF
     """class (known, unverified, real), severity, message, issues: validation messages by what they are worth."""
     kind = F.when(known, "known").when(unverified, "unverified").otherwise("real")
     return issues.groupBy(kind.alias("class"), "severity", "message").agg(F.count(F.lit(1)).alias("issues"))
+
+
+def exportable(df: DataFrame, flags: Sequence[str]) -> DataFrame:
+    """Rows without any of the integrity flags (a null flag counts as raised); the others stay in the mart, flagged."""
+    return df.filter(~reduce(Column.__or__, (F.coalesce(F.col(f), F.lit(True)) for f in flags)))

@@ -15,14 +15,17 @@ from millrace.sources.shared import settle
 
 def interval_join(events: DataFrame, spans: DataFrame, key: str, at: str, start: str, end: str, reduce_to: str = "all", id_cols: Sequence[str] = (), value: str | None = None) -> DataFrame:
     """Events with the spans of their key that hold on their date (a null end is open). `min` keeps the least `value` of the
-    spans per event (null without one), `latest` the span that starts last, `all` every one; events without a span stay."""
+    spans per event (null without one), `latest` the span that starts last for each event as `id_cols` name it, `all` every one; events without a span stay."""
     other = spans.select(F.col(key).alias("__k"), *(c for c in spans.columns if c != key))
     hit = (F.col(key) == F.col("__k")) & (F.col(start) <= F.col(at)) & (F.col(end).isNull() | (F.col(end) >= F.col(at)))
     joined = events.join(other, hit, "left").drop("__k")
     if reduce_to == "all":
         return joined
     if reduce_to == "min":
-        return joined.groupBy(*events.columns).agg(F.min(value).alias(value))
+        # Repeated events are counted, joined once and put back.
+        once = events.groupBy(*events.columns).agg(F.count(F.lit(1)).alias("__times"))
+        least = once.join(other, hit, "left").drop("__k").groupBy(*events.columns, "__times").agg(F.min(value).alias(value))
+        return least.withColumn("__time", F.explode(F.sequence(F.lit(1), "__times"))).drop("__times", "__time")
     order = Window.partitionBy(*id_cols).orderBy(F.col(start).desc_nulls_last(), F.col(value).asc_nulls_last())
     return joined.withColumn("__n", F.row_number().over(order)).filter("__n = 1").drop("__n")
 

@@ -40,29 +40,80 @@ def read_seed(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
     return spark.read.csv(path, header=True, schema=schema)
 
 
-def logged_load(df: DataFrame, write: Callable[[DataFrame], None], source: str, target: str, run_id: str) -> DataFrame:
-    """Runs a write and returns its log row; the rows are counted in the same pass. A failure is logged by status and raised on."""
+_LOG = "run_id string, source string, target string, row_count long, started_at timestamp, finished_at timestamp, seconds double, status string"
+
+
+def logged_load(df: DataFrame, write: Callable[[DataFrame], None], source: str, target: str, run_id: str, log_path: str | None = None) -> DataFrame:
+    """Runs a write and returns its log row; the rows are counted in the same pass. A failure is raised on after its row, with
+    status `failure`, has been appended to the log table at `log_path`, where that is given; so is a success's row."""
     from pyspark.sql import Observation
 
     seen, started = Observation(), datetime.now(timezone.utc)
-    status = "failure"
-    rows = None
+
+    def row(rows: int | None, status: str) -> DataFrame:
+        done = datetime.now(timezone.utc)
+        made = df.sparkSession.createDataFrame([(run_id, source, target, rows, started, done, (done - started).total_seconds(), status)], _LOG)
+        if log_path is not None:
+            made.coalesce(1).write.mode("append").parquet(log_path)
+        return made
+
     try:
         write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-        status, rows = "success", seen.get["rows"]
-    finally:
-        done = datetime.now(timezone.utc)
-        log = df.sparkSession.createDataFrame(
-            [(run_id, source, target, rows, started, done, (done - started).total_seconds(), status)],
-            "run_id string, source string, target string, row_count long, started_at timestamp, finished_at timestamp, seconds double, status string",
-        )
-    return log
+    except Exception:
+        row(None, "failure")
+        raise
+    return row(seen.get["rows"], "success")
+
+
+def record_release(spark: SparkSession, log_path: str, system: str, version: str, url: str, digest: str, published: str) -> None:
+    """Appends a release of a code system to the manifest table."""
+    rows = spark.createDataFrame([(system, version, url, digest, published)], "system string, version string, url string, digest string, published string")
+    rows.withColumn("published", F.col("published").cast("date")).withColumn("recorded_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(log_path)
+
+
+def record_observation(df: DataFrame, log_path: str) -> None:
+    """Appends observations, with the time they were made, to a table."""
+    df.withColumn("observed_at", F.current_timestamp()).write.mode("append").parquet(log_path)
+
+
+def materialize(df: DataFrame, name: str, mode: str, path: str | None = None, merge: Callable[[DataFrame | None, DataFrame], DataFrame] | None = None) -> DataFrame:
+    """A result by name, as a `view` over its plan, a `table` written anew at `path`, or `incremental`: merged into the last version at `path`.
+
+    Each version is a folder of its own, so a reader of the last one is not disturbed and a failed write leaves it in place."""
+    spark = df.sparkSession
+    if mode != "view":
+        if path is None:
+            raise ValueError("a path is needed")
+        before = sorted(_versions(spark, path))
+        if mode == "incremental":
+            if merge is None:
+                raise ValueError("an incremental result needs a merge")
+            df = merge(spark.read.parquet(f"{path}/v{before[-1]:08d}") if before else None, df)
+        version = before[-1] + 1 if before else 0
+        df.write.mode("overwrite").parquet(f"{path}/v{version:08d}")
+        df = spark.read.parquet(f"{path}/v{version:08d}")
+    df.createOrReplaceTempView(name)
+    return df
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the versions at a path that were written to their end."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    names = [f.getPath() for f in system.listStatus(folder)]
+    return [int(p.getName()[1:]) for p in names if p.getName().startswith("v") and system.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
 
 
 def write_ndjson_by_type(df: DataFrame, path: str) -> DataFrame:
-    """Writes (id, resource_type, resource text) as one folder of JSON lines per type; returns the counts."""
-    df.select("resource_type", "resource").write.partitionBy("resource_type").text(path)
-    return df.groupBy("resource_type").agg(F.count(F.lit(1)).alias("rows"))
+    """Writes (id, resource_type, resource text) as one folder of JSON lines per type, and a manifest (resource_type, rows) beside
+    them; returns the manifest. Rows are counted from what was written, so the input is worked out once."""
+    df.select("resource_type", "resource").write.partitionBy("resource_type").text(f"{path}/resources")
+    written = df.sparkSession.read.schema("value string, resource_type string").text(f"{path}/resources")
+    written.groupBy("resource_type").agg(F.count(F.lit(1)).alias("rows")).coalesce(1).write.json(f"{path}/manifest")
+    return df.sparkSession.read.schema("resource_type string, rows long").json(f"{path}/manifest")
 
 
 def collect_runs(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, DataFrame]:
