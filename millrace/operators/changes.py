@@ -36,9 +36,8 @@ def route_changes(changes: DataFrame, schemas: dict[str, T.StructType], op: str
     value that does not fit its type is null. Each table is a filter of the same batch, to be cached by the caller if read more than once."""
     out = {}
     for name, schema in schemas.items():
-        texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-        body = changes.filter(F.col("tbl") == name).withColumn("__p", F.from_json("payload", texts))
-        columns = [F.col(f"__p.{f.name}").try_cast(f.dataType).alias(f.name) for f in schema]
+        body = changes.filter(F.col("tbl") == name).withColumn("__p", F.try_parse_json("payload"))
+        columns = [F.try_variant_get("__p", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema]
         out[name] = body.select(*columns, F.col(op).alias("_op"), F.col("lsn").alias("_lsn"), F.col("seq").alias("_seq"), F.col("commit_ts").alias("_commit_ts"))
     return out
 
@@ -97,6 +96,14 @@ def after_cut(rows: DataFrame, cut: tuple[int, int] | None) -> DataFrame:
     return rows if cut is None else rows.filter((F.col("_lsn") > cut[0]) | ((F.col("_lsn") == cut[0]) & (F.col("_seq") > cut[1])))
 
 
+def advance_state(state: DataFrame | None, batch: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The state after a batch of changes that all come later: a truncation in the batch removes what lies before it, in the state and in the batch.
+    Tombstones stay."""
+    cut = last_cut(batch)
+    fresh = after_cut(batch.filter("_op <> 'T'"), cut)
+    return merge_state(fresh if state is None else after_cut(state, cut), fresh, key)
+
+
 def needs_reset(state: DataFrame, changes: DataFrame) -> bool:
     """Whether the state must be rebuilt: it is empty, another snapshot has come, or a truncation lies beyond it."""
     s = state.agg(F.max("_lsn").alias("mark"), F.max(F.when(F.col("_op") == "S", F.col("_lsn"))).alias("snapshot")).first()

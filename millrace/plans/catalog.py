@@ -455,13 +455,11 @@ def cd01(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cd03_incremental_state", _CURRENT_SQL)
 def cd03(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same state, from a state at half the log (rows deleted by then kept as tombstones) merged with what came after."""
+    """The same state, from a state at half the log (rows deleted by then kept as tombstones) advanced by what came after, with truncations where they come."""
     log = _changes(spark, sf_dir)
     half = log.agg(F.percentile_approx("_lsn", 0.5).alias("h")).first().h or 0
-    cut = log.filter("_op = 'T'").agg(F.max(F.struct("_lsn", "_seq")).alias("cut"))
-    live = log.crossJoin(F.broadcast(cut)).filter(F.col("cut").isNull() | (F.struct("_lsn", "_seq") > F.col("cut"))).drop("cut")
-    state = changes.changes_after(live.filter(F.col("_lsn") <= half), ["user_id"], -1)
-    merged = changes.merge_state(state, changes.changes_after(live, ["user_id"], half), ["user_id"])
+    state = changes.advance_state(None, log.filter(F.col("_lsn") <= half), ["user_id"])
+    merged = changes.advance_state(state, log.filter(F.col("_lsn") > half), ["user_id"])
     return merged.filter("_op <> 'D'").select("user_id", "value", "_lsn", "_seq", "_op")
 
 
