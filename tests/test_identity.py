@@ -46,3 +46,25 @@ def test_prior_and_nicknames_of_several_names(spark):
     nicknames = spark.createDataFrame([("al", "albert"), ("al", "alan")], "nick string, name string")
     got = identity.harmonise({"a": (people, {"id": F.col("k"), "first": F.col("name")})}, nicknames).collect()
     assert sorted((r.source, r.id, r.first, r.canonical) for r in got) == [("a", 1, "al", "alan"), ("a", 2, "ann", "ann"), ("a", 3, None, None)]
+
+
+def test_near_copies_by_brute_force(spark):
+    """Texts that share four in five of their runs of three words are joined by accepted pairs, directly or through others; texts that share few are not."""
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    root = {k: k for k in texts}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    split = {k: t.lower().split() for k, t in texts.items()}
+    words = {k: set(zip(w, w[1:], w[2:], strict=False)) for k, w in split.items()}
+    like = lambda a, b: float(texts[a] == texts[b]) or len(words[a] & words[b]) / max(1, len(words[a] | words[b]))
+    accepted = [(r.id_l, r.id_r) for r in catalog.QUERIES["i10_linkage"](spark, DATA).filter("decision = 'accept'").collect()]
+    assert sum(like(a, b) < 0.4 for a, b in accepted) <= 0.05 * len(accepted)
+    for a, b in accepted:
+        root[find(a)] = find(b)
+    ids = sorted(k for k in texts if len(words[k]) >= 20)
+    near = [(a, b) for n, a in enumerate(ids) for b in ids[n + 1 :] if abs(len(words[a]) - len(words[b])) <= 0.2 * len(words[a]) and like(a, b) >= 0.8]
+    assert len(near) > 20 and sum(find(a) == find(b) for a, b in near) >= 0.95 * len(near)
