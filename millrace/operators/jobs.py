@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.relational import stack
+from millrace.operators.relational import placed, stack
 
 # --- who may see what
 
@@ -192,14 +192,11 @@ def flatten_requests(requests: DataFrame) -> DataFrame:
 def intake(existing: DataFrame, submitted: DataFrame, key: Sequence[str], id_col: str, order: Sequence[str]) -> DataFrame:
     """Submissions that are new by key, each once, with ids that continue the greatest one. Submitting again adds nothing.
 
-    Ids follow the given order: rows are counted per range of it, and the counts, one a range, are added up."""
+    Ids follow the given order without gaps, however many rows there are: rows are written in ranges of it once, and counted and numbered from these."""
     fresh = submitted.join(existing.select(*key), list(key), "left_anti").groupBy(*key).agg(F.min(F.struct(*order, *(c for c in submitted.columns if c not in (*key, *order)))).alias("__row"))
     rows = fresh.select(*key, "__row.*").select(*submitted.columns)
-    ranged = rows.repartitionByRange(*order, *key).sortWithinPartitions(*order, *key).withColumn("__range", F.spark_partition_id())
-    placed = ranged.withColumn("__place", F.row_number().over(Window.partitionBy("__range").orderBy(*order, *key)))
-    before = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).select("__range", (F.sum("n").over(Window.orderBy("__range")) - F.col("n")).alias("__before"))
     last = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("__last"))
-    return placed.join(F.broadcast(before), "__range").crossJoin(F.broadcast(last)).select((F.col("__last") + F.col("__before") + F.col("__place")).cast("long").alias(id_col), *submitted.columns)
+    return placed(rows, [], [*order, *key]).crossJoin(F.broadcast(last)).select((F.col("__last") + F.col("pos") + 1).cast("long").alias(id_col), *submitted.columns)
 
 
 def decision_events(decided: DataFrame, notified: DataFrame, subscriptions: DataFrame) -> DataFrame:

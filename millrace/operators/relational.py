@@ -124,6 +124,30 @@ def reference_closure(focal: DataFrame, edges: DataFrame, targets: DataFrame) ->
     return seen.join(known, "target", "left_semi").select("focal", "target"), seen.join(known, "target", "left_anti").select("focal", "target")
 
 
+# --- places in an order
+
+
+def in_ranges(df: DataFrame, order: Sequence[str | Column], ranges: int | None = None) -> DataFrame:
+    """Rows dealt in order to ranges of like size: `__range` numbers these in order, `__tie` tells apart rows that the order leaves alike, so that
+    rows of one key, or equal rows, however many, fill several ranges. Written once, so that all that is worked out from it sees the same bounds."""
+    tied = df.withColumn("__tie", F.monotonically_increasing_id())
+    dealt = tied.repartitionByRange(ranges, *order, "__tie") if ranges else tied.repartitionByRange(*order, "__tie")
+    return settle(dealt.withColumn("__range", F.spark_partition_id()))
+
+
+def placed(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], ranges: int | None = None) -> DataFrame:
+    """Rows with `pos`, their place in their group's order from 0 without gaps, and `n`, the rows of the group. Groups may hold most of the rows: they are
+    counted by range, and only these counts are summed along a group. Rows that the order leaves alike have places in any order."""
+    at = in_ranges(df, [*group, *order], ranges)
+    whole = Window.partitionBy(*group)
+    counts = at.groupBy(*group, "__range").agg(F.count(F.lit(1)).alias("__rows"))
+    before = F.coalesce(F.sum("__rows").over(whole.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = counts.select(*(F.col(g).alias(f"__g{k}") for k, g in enumerate(group)), F.col("__range").alias("__r"), before.alias("__before"), F.sum("__rows").over(whole).alias("n"))
+    own = at.withColumn("__own", F.row_number().over(Window.partitionBy(*group, "__range").orderBy(*order, "__tie")))
+    alike = reduce(lambda a, b: a & b, (F.col(g).eqNullSafe(F.col(f"__g{k}")) for k, g in enumerate(group)), F.col("__range") == F.col("__r"))
+    return own.join(sums, alike).select(*df.columns, (F.col("__before") + F.col("__own") - 1).alias("pos"), "n")
+
+
 # --- aggregates
 
 

@@ -238,6 +238,16 @@ def x11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.intake(orders.filter("submission % 3 = 0"), handed.unionByName(handed), ["provider", "submission"], "id", ["at"]).select("id", "provider", "submission")
 
 
+@query("x11_intake_rows", """WITH n AS (SELECT o_custkey AS provider, o_orderkey AS submission, o_orderdate AS day, o_totalprice AS amount, o_orderpriority AS body FROM orders WHERE o_orderkey % 3 <> 0)
+    SELECT (SELECT max(o_orderkey) FROM orders WHERE o_orderkey % 3 = 0) + row_number() OVER (ORDER BY day, provider, submission) AS id, provider, submission, day, amount, body FROM n""")
+def x11_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders handed in whole, where every third order is already there."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("provider"), F.col("o_orderkey").alias("submission"), F.col("o_orderdate").alias("day"), F.col("o_totalprice").alias("amount"), F.col("o_orderpriority").alias("body")
+    )
+    return jobs.intake(orders.filter("submission % 3 = 0"), orders.drop("id"), ["provider", "submission"], "id", ["day"])
+
+
 @query("x12_events", """WITH d AS (SELECT o_orderkey, o_custkey % 10 AS provider, o_orderdate FROM orders WHERE o_orderstatus <> 'O'), told AS (SELECT provider AS sub, o_orderkey, row_number() OVER (PARTITION BY provider ORDER BY o_orderkey) AS n FROM d WHERE o_orderkey % 4 = 0),
     s AS (SELECT range AS sub FROM range(8)) SELECT sub AS subscription_id, o_orderkey AS request_id, (SELECT coalesce(max(n), 0) FROM told WHERE told.sub = s.sub) + row_number() OVER (PARTITION BY sub ORDER BY o_orderdate, o_orderkey) AS event_number
     FROM d JOIN s ON provider = sub WHERE o_orderkey % 4 <> 0""")
