@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, licenses, lm, nbsvm, quality_rules, sentencepiece, simhash, token_files, toxicity, url_filter
+from millrace.llm import decontaminate, licenses, lm, merkle, nbsvm, periodic, pii, quality_rules, sentencepiece, simhash, token_files, toxicity, url_filter
 from millrace.llm.common import scratch, table
 
 #: Folder of the public tokenizers' files on every machine; a parameter of the operators.
@@ -61,11 +61,21 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.find(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        f.__name__: f
-        for f in (op1_url_filter, op2_quality_rules, op3_license_scan, op4_lm_score, op5_decontaminate, op6_toxicity, op7_simhash, op8_nbsvm, op9_sentencepiece, op10_token_files)
-    }
+    first = (op1_url_filter, op2_quality_rules, op3_license_scan, op4_lm_score, op5_decontaminate, op6_toxicity, op7_simhash, op8_nbsvm, op9_sentencepiece, op10_token_files)
+    return {f.__name__: f for f in (*first, op11_pii, op12_merkle_manifest, op13_periodic_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
