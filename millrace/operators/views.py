@@ -1,7 +1,12 @@
-"""Declarative flattening of JSON documents held as VARIANT.
+"""Declarative flattening of JSON documents held as VARIANT or as text.
 
 An expression is a function from the focus, an array of VARIANT, to another such array: missing gives none, an array its elements, a scalar itself.
 A column takes the one value of its expression and raises an error where there are several, unless it is a collection.
+
+A view is compiled before it runs: its expressions are tried on a focus that only notes which members they take, and each document and each item of a
+`for_each` is then read once into a struct of just these members (`from_json` with a pruned schema for text). Members stay VARIANT, as they may be arrays or not.
+
+Numbers: whole ones and decimals are compared and added exactly, as far as 38 digits hold them; floating-point ones as such.
 """
 
 from __future__ import annotations
@@ -10,12 +15,25 @@ import operator
 import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Focus = Callable[[Column], Column]
+class Focused:
+    """The one item that expressions start from: as VARIANT, and its members by name where it has been read into a struct."""
+
+    def __init__(self, items: Callable[[], Column], member: Callable[[str], Column]):
+        self._items, self.member = items, member
+
+    @property
+    def items(self) -> Column:
+        return self._items()
+
+
+Focus = Callable[["Column | Focused"], Column]
 _KIND = "array<variant>"
+_WIDE, _SHORT = "decimal(38,18)", "decimal(18,9)"
 
 
 def _none() -> Column:
@@ -31,19 +49,69 @@ def single(items: Column) -> Column:
     return F.try_element_at(items, F.lit(1))
 
 
+def _kind(v: Column) -> Column:
+    return F.schema_of_variant(v)
+
+
 def _is_number(v: Column) -> Column:
-    return ~F.schema_of_variant(v).isin("STRING", "BOOLEAN", "VOID") & F.try_variant_get(v, "$", "double").isNotNull()
+    return ~_kind(v).isin("STRING", "BOOLEAN", "VOID") & F.try_variant_get(v, "$", "double").isNotNull()
+
+
+def _as(v: Column, kind: str) -> Column:
+    return F.try_variant_get(v, "$", kind)
+
+
+def _exact(*values: Column) -> Column:
+    """Whether numbers are whole or decimal, not floating-point."""
+    return reduce(operator.and_, (_kind(v).rlike("^(BIGINT|DECIMAL)") for v in values))
+
+
+def _short(v: Column) -> Column:
+    """Whether a number has at most nine digits before and after its point, so that products and quotients of two are exact or rounded at the 18th."""
+    scale = F.regexp_extract(_kind(v), r",(\d+)\)", 1)
+    whole = F.try_variant_get(v, "$", "decimal(9,0)").isNotNull()
+    return whole & ((_kind(v) == "BIGINT") | (scale.try_cast("int") <= 9))
+
+
+def _pruned(names: Sequence[str]) -> str:
+    return "struct<" + ", ".join(f"`{n}`: variant" for n in names) + ">"
+
+
+def _gone(v: Column) -> Column:
+    return v.isNull() | F.is_variant_null(v)
+
+
+def _elements(v: Column, kind: str) -> Column:
+    """A member's items, each read as a type: none if it is missing, an array's elements, else itself."""
+    return F.when(_gone(v), F.array().cast(f"array<{kind}>")).otherwise(F.coalesce(F.try_variant_get(v, "$", f"array<{kind}>"), F.array(F.try_variant_get(v, "$", kind))))
+
+
+def _items(v: Column) -> Column:
+    return F.when(_gone(v), _none()).otherwise(F.coalesce(F.try_variant_get(v, "$", _KIND), F.array(v)))
+
+
+def _below(v: Column, names: Sequence[str]) -> Column:
+    """The items at the end of a chain of members of a member."""
+    if not names:
+        return _items(v)
+    return F.flatten(F.transform(_elements(v, _pruned(names[:1])), lambda e: _below(e.getField(names[0]), names[1:])))
 
 
 @dataclass(frozen=True)
 class Expr:
     run: Focus
+    #: Names of members, where the expression is nothing but a chain of them from the focus.
+    chain: tuple[str, ...] | None = None
 
     def get(self, name: str) -> Expr:
-        def one(v: Column) -> Column:
-            return bound(F.try_variant_get(v, f"$.{name}", "variant"), lambda m: F.when(m.isNull() | F.is_variant_null(m), _none()).otherwise(F.coalesce(F.try_variant_get(m, "$", _KIND), F.array(m))))
+        chain = None if self.chain is None else (*self.chain, name)
 
-        return Expr(lambda c: F.flatten(F.transform(self.run(c), one)))
+        def items(c: Column | Focused) -> Column:
+            if chain is not None and isinstance(c, Focused):
+                return _below(c.member(chain[0]), chain[1:])
+            return F.flatten(F.transform(self.run(c), lambda v: bound(F.try_variant_get(v, f"$.{name}", "variant"), _items)))
+
+        return Expr(items, chain)
 
     def path(self, dotted: str) -> Expr:
         out = self
@@ -74,20 +142,23 @@ class Expr:
         test = ops[op]
 
         def values(x: Column, y: Column) -> Column:
-            both = _is_number(x) & _is_number(y)
-            return F.when(both, test(F.try_variant_get(x, "$", "double"), F.try_variant_get(y, "$", "double"))).otherwise(test(x.cast("string"), y.cast("string")))
+            decimal = F.when(_exact(x, y), test(_as(x, _WIDE), _as(y, _WIDE)))
+            numbers = F.coalesce(decimal, test(_as(x, "double"), _as(y, "double")))
+            return F.when(_is_number(x) & _is_number(y), numbers).otherwise(test(x.cast("string"), y.cast("string")))
 
         return lambda c: bound(single(self.run(c)), lambda x: bound(single(other.run(c)), lambda y: F.when(x.isNotNull() & y.isNotNull(), values(x, y))))
 
     def arithmetic(self, op: str, other: Expr) -> Expr:
-        """`+`, `-`, `*` or `/` of the one value of each side: whole numbers stay whole but for `/`; nothing where a side is empty or no number."""
-        ops: dict[str, Callable[[Column, Column], Column]] = {"+": operator.add, "-": operator.sub, "*": operator.mul, "/": F.try_divide}
+        """`+`, `-`, `*` or `/` of the one value of each side: whole numbers stay whole but for `/`, decimals (and quotients) are decimal, to 18 digits
+        behind the point; floating-point only where a side is, or where the digits do not suffice. Nothing where a side is empty or no number."""
+        ops: dict[str, Callable[[Column, Column], Column]] = {"+": F.try_add, "-": F.try_subtract, "*": F.try_multiply, "/": F.try_divide}
         make = ops[op]
 
         def values(x: Column, y: Column) -> Column:
-            as_ = lambda kind: make(F.try_variant_get(x, "$", kind), F.try_variant_get(y, "$", kind)).cast("variant")
-            whole = F.schema_of_variant(x).isin("BIGINT") & F.schema_of_variant(y).isin("BIGINT") & F.lit(op != "/")
-            return F.when(_is_number(x) & _is_number(y), F.when(whole, as_("bigint")).otherwise(as_("double")))
+            as_ = lambda kind: make(_as(x, kind), _as(y, kind)).cast("variant")
+            whole = (_kind(x) == "BIGINT") & (_kind(y) == "BIGINT") & F.lit(op != "/")
+            decimal = F.when(_exact(x, y), as_(_WIDE)) if op in "+-" else F.when(_exact(x, y) & _short(x) & _short(y), as_(_SHORT))
+            return F.when(_is_number(x) & _is_number(y), F.coalesce(F.when(whole, as_("bigint")), decimal, as_("double")))
 
         found = lambda c: bound(single(self.run(c)), lambda x: bound(single(other.run(c)), lambda y: F.when(x.isNotNull() & y.isNotNull(), values(x, y))))
         return Expr(lambda c: bound(found(c), lambda v: F.when(v.isNull(), _none()).otherwise(F.array(v))))
@@ -139,7 +210,9 @@ class Expr:
     def reference_key(self, kind: str | None = None) -> Focus:
         """The id of a reference; with a type, only of references to it."""
         text = lambda c: single(self.get("reference").texts()(c))
-        return lambda c: F.when(text(c).rlike(f"(^|/){kind}/[^/]+$") if kind else F.lit(True), F.regexp_replace(text(c), "^.*[/:]", ""))
+        if not kind:
+            return lambda c: F.regexp_replace(text(c), "^.*[/:]", "")
+        return lambda c: bound(text(c), lambda t: F.when(t.rlike(f"(^|/){kind}/[^/]+$"), F.regexp_replace(t, "^.*[/:]", "")))
 
     def resource_key(self) -> Focus:
         return lambda c: single(self.get("id").texts()(c))
@@ -162,11 +235,13 @@ def one_of_two(a: Focus, b: Focus) -> Focus:
 
 
 def constant(value: str | int | float | bool) -> Expr:
-    return Expr(lambda c: F.array(F.lit(value).cast("variant")))
+    """A literal; a float is the decimal that it is written as."""
+    literal = F.parse_json(F.lit(repr(value))) if isinstance(value, float) else F.lit(value).cast("variant")
+    return Expr(lambda c: F.array(literal))
 
 
 def this() -> Expr:
-    return Expr(lambda c: c)
+    return Expr(lambda c: c.items if isinstance(c, Focused) else c, ())
 
 
 def path(dotted: str) -> Expr:
@@ -180,13 +255,18 @@ class Col:
     type: str = "string"
     collection: bool = False
 
-    def column(self, focus: Column) -> Column:
+    def column(self, focus: Column | Focused) -> Column:
         if not isinstance(self.expr, Expr):
             return self.expr(focus).alias(self.name)
+        error = F.raise_error(F.lit(f"{self.name} has several values"))
+        if isinstance(focus, Focused) and self.expr.chain is not None and len(self.expr.chain) == 1 and not self.collection:
+            # A member of the item itself: in most documents a scalar, which needs no list.
+            v = focus.member(self.expr.chain[0])
+            several = F.try_variant_get(v, "$", _KIND)
+            return F.when(several.isNull(), v.cast(self.type)).when(F.size(several) > 1, error).otherwise(single(several).cast(self.type)).alias(self.name)
         values = self.expr.run(focus)
         if self.collection:
             return F.transform(values, lambda v: v.cast(self.type)).alias(self.name)
-        error = F.raise_error(F.lit(f"{self.name} has several values"))
         return bound(values, lambda v: F.when(F.size(v) > 1, error).otherwise(single(v).cast(self.type))).alias(self.name)
 
 
@@ -235,21 +315,72 @@ def validate(view: View) -> None:
             raise ValueError("branches of a union hold columns and `for_each` alone")
 
 
+def _taken(parts: Sequence[Select], conditions: Sequence[Focus] = ()) -> tuple[list[str], bool]:
+    """Which members the parts take of the item that they start from, and whether they use the item itself."""
+    names: dict[str, None] = {}
+    whole: list[bool] = []
+
+    def member(name: str) -> Column:
+        names[name] = None
+        return F.lit(None).cast("variant")
+
+    def items() -> Column:
+        whole.append(True)
+        return _none()
+
+    noting = Focused(items, member)
+
+    def note(select: Select) -> None:
+        if select.for_each is not None:
+            select.for_each.run(noting)
+            return
+        for c in select.columns:
+            c.column(noting)
+        for below in select.select:
+            note(below)
+        for branch in select.union_all:
+            (this() if branch.for_each is None else branch.for_each).run(noting)
+
+    for test in conditions:
+        test(noting)
+    for part in parts:
+        note(part)
+    return list(names), bool(whole)
+
+
+def _inner(part: Select) -> list[Select]:
+    """What the items of a `for_each` are the focus of."""
+    return [Select(part.columns, select=part.select, union_all=part.union_all)]
+
+
 def _tagged(items: Column, n: int) -> Column:
     return F.transform(items, lambda v: F.struct(F.lit(n).alias("n"), v.alias("v")))
 
 
 def flatten_view(df: DataFrame, view: View, keep: Sequence[str] = (), resource: str = "resource") -> DataFrame:
-    """Rows of a view over documents of its resource type. Nested selects multiply, like a join of their rows; branches of a union add up.
+    """Rows of a view over documents of its resource type, VARIANT or JSON text. Nested selects multiply, like a join of their rows; branches of a union add up.
 
-    A document is brought in by a generator, so it is parsed once, whatever reads it. A test in `where` must be boolean."""
+    A document is brought in by a generator, so it is read once, whatever uses it. A test in `where` must be boolean. Text that is no JSON is an error."""
     validate(view)
-    out = df.select(*keep, F.explode(F.array(F.col(resource))).alias("__resource"))
-    out = out.filter(F.try_variant_get("__resource", "$.resourceType", "string") == view.resource).withColumn("__0", F.array("__resource"))
+    names, whole = _taken(view.select, view.where)
+    source = F.col(resource)
+    read = _pruned([n for n in names if n != "resourceType"] + ["resourceType"])
+    text = df.schema[resource].dataType.typeName() == "string"
+    # Brought in by generators, so that a document is read once, whatever uses it: its item (VARIANT) and its members.
+    if text and not whole:
+        out = df.select(*keep, F.lit(None).cast("variant").alias("__0_item"), F.explode(F.array(F.from_json(source, read, {"mode": "FAILFAST"}))).alias("__0"))
+    else:
+        out = df.select(*keep, F.explode(F.array(F.parse_json(source) if text else source)).alias("__0_item"))
+        out = out.select("*", F.explode(F.array(F.try_variant_get("__0_item", "$", read))).alias("__0"))
+    out = out.filter(F.try_variant_get("__0.resourceType", "$", "string") == view.resource)
+
+    def focused(name: str) -> Focused:
+        return Focused(lambda: F.when(F.col(f"{name}_item").isNull(), _none()).otherwise(F.array(f"{name}_item")), lambda member: F.col(f"{name}.`{member}`"))
+
     for k, test in enumerate(view.where):
-        if out.select(test(F.col("__0")).alias("t")).schema["t"].dataType.typeName() != "boolean":
+        if out.select(test(focused("__0")).alias("t")).schema["t"].dataType.typeName() != "boolean":
             raise ValueError(f"condition {k} is not boolean")
-        out = out.filter(F.coalesce(test(F.col("__0")), F.lit(False)))
+        out = out.filter(F.coalesce(test(focused("__0")), F.lit(False)))
     done: list[str] = []
 
     def apply(frame: DataFrame, parts: Sequence[Select], focus: str, depth: int) -> DataFrame:
@@ -258,19 +389,23 @@ def flatten_view(df: DataFrame, view: View, keep: Sequence[str] = (), resource:
             if part.for_each is not None:
                 inner, at = f"__{depth}_{k}", f"__at_{depth}_{k}"
                 explode = F.posexplode_outer if part.or_null else F.posexplode
-                kept = [c for c in frame.columns]
-                frame = frame.select(*kept, explode(part.for_each.run(F.col(focus))).alias(at, "__item"))
-                frame = frame.withColumn(inner, F.when(F.col("__item").isNull(), F.array().cast(_KIND)).otherwise(F.array("__item"))).drop("__item")
+                names, whole = _taken(_inner(part))
+                members, chain = _pruned(names or ["id"]), part.for_each.chain
+                if chain is not None and len(chain) == 1 and not whole:
+                    frame = frame.select(*frame.columns, explode(_elements(focused(focus).member(chain[0]), members)).alias(at, inner))
+                else:
+                    frame = frame.select(*frame.columns, explode(part.for_each.run(focused(focus))).alias(at, f"{inner}_item"))
+                    frame = frame.withColumn(inner, F.try_variant_get(f"{inner}_item", "$", members))
                 if part.row_index:
                     frame = frame.withColumn(part.row_index, F.coalesce(at, F.lit(0)))
                     done.append(part.row_index)
             for c in part.columns:
-                frame = frame.withColumn(c.name, c.column(F.col(inner)))
+                frame = frame.withColumn(c.name, c.column(focused(inner)))
                 done.append(c.name)
             frame = apply(frame, part.select, inner, depth * 10 + k + 1)
             if part.union_all:
                 # Each branch's items are tagged and taken apart in one pass.
-                tagged = [_tagged(F.col(inner) if b.for_each is None else b.for_each.run(F.col(inner)), n) for n, b in enumerate(part.union_all)]
+                tagged = [_tagged((this() if b.for_each is None else b.for_each).run(focused(inner)), n) for n, b in enumerate(part.union_all)]
                 name = f"__union_{depth}_{k}"
                 frame = frame.select(*frame.columns, F.explode(F.concat(*tagged)).alias(name))
                 for place, c in enumerate(part.union_all[0].columns):

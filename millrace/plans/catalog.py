@@ -538,7 +538,7 @@ _ITEMS = views.View(
        FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey""",
 )
 def v18(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = resources.as_json(_claims(spark, sf_dir), "claim").select("id", F.parse_json("claim").alias("resource"))
+    texts = resources.as_json(_claims(spark, sf_dir), "claim").select("id", F.col("claim").alias("resource"))
     return views.flatten_view(texts, _ITEMS).select("claim_id", "member_id", "line", "product", "quantity", "position")
 
 

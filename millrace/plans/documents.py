@@ -12,7 +12,7 @@ from millrace.sources.files import table
 
 
 def _read(made: DataFrame, view: View) -> DataFrame:
-    return views.flatten_view(made.select(F.parse_json("resource").alias("resource")), view)
+    return views.flatten_view(made.select("resource"), view)
 
 
 

@@ -73,3 +73,41 @@ def test_validation(docs):
     with pytest.raises(ValueError):
         v.flatten_view(docs, v.View("Q", [v.Select([col("a")])], [v.path("id").count()]))
     assert v.flatten_view(docs, v.View("Q", [v.Select([col("a")])], [v.path("n").exists()])).count() == 1
+
+
+def test_numbers_are_exact(docs):
+    c, sums = v.constant, lambda a, op, b: v.constant(a).arithmetic(op, v.constant(b))
+    one, _ = values(
+        docs, a=sums(0.1, "+", 0.2), b=sums(1, "/", 4), c=sums(1, "/", 3), e=sums(2**53, "+", 1), f=sums(19.99, "*", 3), g=sums(0.3, "-", 0.1), h=sums(2**62, "*", 4), i=sums(1, "/", 0),
+        j=c(2**53 + 1).compare("=", c(2**53)), k=c(2**53 + 1).compare(">", c(2**53)), l=sums(0.1, "+", 0.2).compare("=", c(0.3)), m=c(1).compare("=", c(1.0)), n=c(1e300).compare(">", c(2**60)), o=sums(1e300, "*", 10),
+    )
+    assert [one[x] for x in "abcefgi"] == [["0.3"], ["0.25"], ["0.33333333333333333333"], ["9007199254740993"], ["59.97"], ["0.2"], []]
+    assert float(one["h"][0]) == 2.0**64 and float(one["o"][0]) == 1e301 and [one[x] for x in "jklmn"] == [False, True, True, True, True]
+
+
+def test_members_that_are_arrays_or_not(spark):
+    """A compiled view reads scalars, arrays, nulls and odd items alike from text and from VARIANT; several values for one column are an error."""
+    texts = [
+        '{"resourceType": "Q", "id": "a", "item": [{"n": 1, "p": {"q": [1, 2]}}, 5, null, {"n": [2], "p": [{"q": 3}, {"q": null}]}]}', '{"resourceType": "Q", "id": ["b"], "item": {"n": 7, "p": "x"}}',
+        '{"resourceType": "Q", "id": null, "item": []}', '{"resourceType": "Q"}', '{"resourceType": "R", "id": "z", "item": [{"n": 9}]}', '{"id": "none"}',
+    ]
+    df = spark.createDataFrame([(t, k) for k, t in enumerate(texts)], "resource string, k int")
+    part = v.Select([v.Col("n", v.path("n"), "int"), v.Col("q", v.path("p.q"), "int", True)], for_each=v.path("item"), or_null=True, row_index="at")
+    view = v.View("Q", [v.Select([v.Col("id", v.path("id"))], select=[part])])
+    want = sorted([(0, "a", 0, 1, [1, 2]), (0, "a", 1, None, []), (0, "a", 2, None, []), (0, "a", 3, 2, [3]), (1, "b", 0, 7, []), (2, None, 0, None, []), (3, None, 0, None, [])], key=repr)
+    for source in (df, df.withColumn("resource", F.parse_json("resource"))):
+        assert sorted(((r.k, r.id, r.at, r.n, r.q) for r in v.flatten_view(source, view, ["k"]).collect()), key=repr) == want
+        several = source.filter("k = 0").select(F.lit('{"resourceType": "Q", "id": ["x", "y"]}').alias("resource"))
+        for frame in (several, several.select(F.parse_json("resource").alias("resource"))):
+            with pytest.raises(Exception, match="id has several values"):
+                v.flatten_view(frame, v.View("Q", [v.Select([v.Col("id", v.path("id"))])])).collect()
+            assert v.flatten_view(frame, v.View("Q", [v.Select([v.Col("id", v.path("id"), collection=True)])])).first().id == ["x", "y"]
+    inner = v.Select([v.Col("v", v.this(), "int")], for_each=v.path("p.q"))
+    nested = v.View("Q", [v.Select(select=[v.Select([v.Col("n", v.path("n"), "int")], for_each=v.path("item"), select=[inner])])])
+    assert sorted((r.n, r.v) for r in v.flatten_view(df, nested).collect()) == [(1, 1), (1, 2), (2, 3)]
+
+
+def test_compiled_plan_reads_only_members_used(docs, spark):
+    text = spark.createDataFrame([(DOC,)], "resource string")
+    plan = v.flatten_view(text, v.View("Q", [v.Select([v.Col("key", v.path("id"))])]))._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json(StructField(id,VariantType" in plan and "StructField(item" not in plan and "parseJson" not in plan
