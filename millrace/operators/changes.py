@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import lsn_to_long
-from millrace.operators.relational import bag_difference, gap_seconds, latest_per_key, stack
+from millrace.operators.relational import bag_difference, gap_seconds, latest_per_key, quantiles, stack
 
 
 def decode_changes(messages: DataFrame, after_lsn: int) -> DataFrame:
@@ -59,10 +59,12 @@ def snapshot_needed(tables: DataFrame, states: DataFrame, health: DataFrame) ->
 def slot_lag(observations: DataFrame) -> DataFrame:
     """slot_name, observations, longest gap in seconds between them, median and greatest retained bytes, and the latest status."""
     gaps = gap_seconds(observations, "slot_name", "observed_at", "retained_bytes")
-    return gaps.groupBy("slot_name").agg(
-        F.count(F.lit(1)).alias("observations"), F.max("gap_s").alias("longest_gap_s"), F.percentile("retained_bytes", 0.5).alias("median_bytes"), F.max("retained_bytes").alias("most_bytes"),
+    counted = gaps.groupBy("slot_name").agg(
+        F.count(F.lit(1)).alias("observations"), F.max("gap_s").alias("longest_gap_s"), F.max("retained_bytes").alias("most_bytes"),
         F.max_by("wal_status", F.struct("observed_at", "retained_bytes")).alias("last_status"),
     )
+    medians = quantiles(observations, ["slot_name"], "retained_bytes", {"median_bytes": 0.5})
+    return counted.join(medians, "slot_name", "left").select("slot_name", "observations", "longest_gap_s", "median_bytes", "most_bytes", "last_status")
 
 
 def current_state(changes: DataFrame, key: Sequence[str], up_to: int | None = None) -> DataFrame:
@@ -114,13 +116,20 @@ def needs_reset(state: DataFrame, changes: DataFrame) -> bool:
 
 def change_latency(changes: DataFrame, key: str, started: str, ended: str) -> DataFrame:
     """Number of changes and exact median, 95th percentile and maximum of their delay in seconds."""
-    delay = (F.unix_millis(ended) - F.unix_millis(started)) / 1000
-    return changes.withColumn("__d", delay).groupBy(key).agg(F.count(F.lit(1)).alias("changes"), F.percentile("__d", 0.5).alias("p50_s"), F.percentile("__d", 0.95).alias("p95_s"), F.max("__d").alias("max_s"))
+    delayed = changes.withColumn("__d", (F.unix_millis(ended) - F.unix_millis(started)) / 1000)
+    counted = delayed.groupBy(key).agg(F.count(F.lit(1)).alias("changes"), F.max("__d").alias("max_s"))
+    return counted.join(quantiles(delayed, [key], "__d", {"p50_s": 0.5, "p95_s": 0.95}), key, "left").select(key, "changes", "p50_s", "p95_s", "max_s")
+
+
+def operation_latency(changes: DataFrame, key: str, op: str, started: str, ended: str, ops: Sequence[str] = ("S", "I", "U", "D", "T")) -> DataFrame:
+    """`change_latency`, and the number of changes of each operation (`op_I` and so on) and their first and last end."""
+    per_op = changes.groupBy(key).agg(*(F.count_if(F.col(op) == o).alias(f"op_{o}") for o in ops), F.min(ended).alias("first_at"), F.max(ended).alias("last_at"))
+    return change_latency(changes, key, started, ended).join(per_op, key)
 
 
 def slot_health(observations: DataFrame, max_mb: int = 512) -> DataFrame:
-    """Problems of each slot's latest observation."""
-    last = latest_per_key(observations, ["slot_name"], [F.desc("observed_at")])
+    """Problems of each slot's latest observation; of several at one instant, of that with the most retained bytes, then the first status by name."""
+    last = latest_per_key(observations, ["slot_name"], [F.desc("observed_at"), F.desc("retained_bytes"), F.asc("wal_status")])
     tests = {"lost": F.col("wal_status") == "lost", "unreserved": F.col("wal_status") == "unreserved", "retains too much": F.col("retained_bytes") > max_mb * 1048576}
     problems = F.filter(F.array(*(F.when(test, F.lit(name)) for name, test in tests.items())), lambda x: x.isNotNull())
     return last.select("slot_name", "observed_at", problems.alias("problems"))

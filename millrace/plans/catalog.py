@@ -272,9 +272,39 @@ def a03(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("j04_interval_all", f"""WITH spans AS ({_SPANS_SQL}) SELECT l_orderkey, l_linenumber, l.l_suppkey, span_year::BIGINT AS span_year FROM lineitem l LEFT JOIN spans s ON l.l_suppkey = s.l_suppkey AND valid_from <= l_shipdate::DATE AND (valid_to IS NULL OR valid_to >= l_shipdate::DATE)""")
+def j04_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with every span of its supplier that holds on its day; repeated lines stay."""
+    lines = table(spark, sf_dir, "lineitem")
+    found = relational.interval_join(lines.select("l_orderkey", "l_linenumber", "l_suppkey", F.col("l_shipdate").cast("date").alias("d")), _spans(lines), "l_suppkey", "d", "valid_from", "valid_to")
+    return found.select("l_orderkey", "l_linenumber", "l_suppkey", F.col("span_year").cast("long").alias("span_year"))
+
+
+@query("i18_blocking_rules", """WITH r AS (SELECT CASE WHEN a.p_brand = b.p_brand AND a.p_size = b.p_size THEN 0 WHEN a.p_type = b.p_type AND a.p_size = b.p_size THEN 1 ELSE 2 END AS rule
+        FROM part a JOIN part b ON a.p_partkey < b.p_partkey AND (a.p_size = b.p_size AND (a.p_brand = b.p_brand OR a.p_type = b.p_type) OR a.p_brand = b.p_brand AND a.p_type = b.p_type)),
+        c AS (SELECT k.range AS rule, count(r.rule) AS marginal FROM range(3) k LEFT JOIN r ON r.rule = k.range GROUP BY 1)
+    SELECT rule::INT AS rule, marginal, sum(marginal) OVER (ORDER BY rule)::BIGINT AS cumulative, (SELECT count(*) * (count(*) - 1) // 2 FROM part)::BIGINT AS possible FROM c""")
+def i18_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs that each of three rules adds, counted by inclusion and exclusion."""
+    return relational.blocking_report(table(spark, sf_dir, "part"), "p_partkey", [["p_brand", "p_size"], ["p_type", "p_size"], ["p_brand", "p_type"]])
+
+
+@query("w04_gaps_by_type", """SELECT event_id, (epoch_ms(ts) - epoch_ms(lag(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id))) / 1000 AS gap_s FROM (SELECT * REPLACE (date_trunc('millisecond', ts) AS ts) FROM events)""")
+def w04_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps within a few event types, each of which holds many events: in ranges."""
+    return relational.gap_seconds(table(spark, sf_dir, "events").withColumn("ts", F.date_trunc("millisecond", F.col("ts").cast("timestamp"))), "event_type", "ts", "event_id", group_rows=1000).select("event_id", "gap_s")
+
+
+@query("w06_sequence_by_type", """SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id)::INT AS number, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id) = 1 AS is_first FROM events""")
+def w06_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places within a few event types, latest first: in ranges."""
+    return relational.numbered(table(spark, sf_dir, "events"), ["event_type"], [F.desc("ts"), F.asc("event_id")], group_rows=1000).select("event_id", "number", "is_first")
+
+
 @query("a04_quantiles", """SELECT event_type, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95 FROM events GROUP BY 1""")
 def a04(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.round(F.percentile("value", 0.5), 6).alias("p50"), F.round(F.percentile("value", 0.95), 6).alias("p95"))
+    found = relational.quantiles(table(spark, sf_dir, "events"), ["event_type"], "value", {"p50": 0.5, "p95": 0.95})
+    return found.select("event_type", F.round("p50", 6).alias("p50"), F.round("p95", 6).alias("p95"))
 
 
 @query("a05_unique_or_ambiguous", """SELECT l_orderkey, count(DISTINCT l_suppkey) AS candidates, CASE WHEN count(DISTINCT l_suppkey) = 1 THEN min(l_suppkey) END AS l_suppkey FROM lineitem GROUP BY 1""")
@@ -464,6 +494,16 @@ def cd03(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.filter("_op <> 'D'").select("user_id", "value", "_lsn", "_seq", "_op")
 
 
+@query("cd08_operation_latency", """WITH e AS (SELECT * REPLACE (date_trunc('millisecond', ts) AS ts) FROM events), d AS (SELECT *, CASE WHEN event_id % 3 = 0 THEN 'I' WHEN event_id % 3 = 1 THEN 'U' ELSE 'D' END AS op, epoch_ms(date_trunc('day', ts) + INTERVAL 1 DAY) / 1000 - epoch_ms(ts) / 1000 AS d FROM e)
+    SELECT event_type, count(*) AS changes, round(quantile_cont(d, 0.5), 6) AS p50_s, round(quantile_cont(d, 0.95), 6) AS p95_s, round(max(d), 6) AS max_s, count(*) FILTER (WHERE op = 'I') AS op_I, count(*) FILTER (WHERE op = 'U') AS op_U, count(*) FILTER (WHERE op = 'D') AS op_D FROM d GROUP BY 1""")
+def cd08_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delay of events to the end of their day, and how many there are of each operation."""
+    k = F.col("event_id") % 3
+    events = table(spark, sf_dir, "events").withColumn("op", F.when(k == 0, "I").when(k == 1, "U").otherwise("D")).withColumn("ts", F.date_trunc("millisecond", F.col("ts").cast("timestamp")))
+    found = changes.operation_latency(events.withColumn("landed", F.date_trunc("day", "ts") + F.expr("interval 1 day")), "event_type", "op", "ts", "landed", ("I", "U", "D"))
+    return found.select("event_type", "changes", *(F.round(c, 6).alias(c) for c in ("p50_s", "p95_s", "max_s")), "op_I", "op_U", "op_D")
+
+
 @query("cd08_latency", """WITH d AS (SELECT event_type, date_diff('millisecond', lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id), ts) / 1000 AS d FROM (SELECT *  REPLACE (date_trunc('millisecond', ts) AS ts) FROM events))
     SELECT event_type, count(*) AS changes, round(quantile_cont(d, 0.5), 4) AS p50_s, round(quantile_cont(d, 0.95), 4) AS p95_s, max(d) AS max_s FROM d WHERE d IS NOT NULL GROUP BY 1""")
 def cd08(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,6 +53,13 @@ def cd10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.slot_health(seen, max_mb=1).select("slot_name", F.array_join("problems", ",").alias("problems"))
 
 
+@query("cd10_slot_health_all", f"""WITH o AS ({_OBSERVED_SQL}), l AS (SELECT *, row_number() OVER (PARTITION BY slot_name ORDER BY observed_at DESC, retained_bytes DESC) AS n FROM o)
+    SELECT slot_name, concat_ws(',', CASE WHEN wal_status = 'lost' THEN 'lost' END, CASE WHEN wal_status = 'unreserved' THEN 'unreserved' END, CASE WHEN retained_bytes > 1048576 THEN 'retains too much' END) AS problems FROM l WHERE n = 1""")
+def cd10_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All observations, several at one instant among them."""
+    return changes.slot_health(_observations(spark, sf_dir), max_mb=1).select("slot_name", F.array_join("problems", ",").alias("problems"))
+
+
 @query("cd11_snapshots", """WITH s AS (SELECT event_type AS t, count(*) FILTER (WHERE value > 300) AS n FROM events WHERE event_type <> 'view' GROUP BY 1), l AS (SELECT event_type AS t, bool_or(event_id % 997 = 0) AS lost FROM events GROUP BY 1)
     SELECT t AS "table", CASE WHEN n IS NULL THEN 'no table' WHEN n = 0 THEN 'no state' ELSE 'slot lost' END AS reason FROM l LEFT JOIN s USING (t) WHERE n IS NULL OR n = 0 OR lost""")
 def cd11(spark: SparkSession, sf_dir: str) -> DataFrame:
