@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import lsn_to_long
-from millrace.operators.relational import bag_difference, gap_seconds, latest_per_key, quantiles, stack
+from millrace.operators.relational import bag_difference, gap_seconds, latest_per_key, numbered, quantiles, stack
 
 
 def decode_changes(messages: DataFrame, after_lsn: int) -> DataFrame:
@@ -19,8 +19,20 @@ def decode_changes(messages: DataFrame, after_lsn: int) -> DataFrame:
     counts once its commit is there; changes are numbered within it."""
     commits = messages.filter("action = 'C'").select("xid", lsn_to_long(F.col("lsn")).alias("lsn"), F.col("timestamp").alias("commit_ts")).filter(F.col("lsn") > after_lsn)
     rows = messages.filter("action IN ('I','U','D','T')").select("xid", "n", F.col("table").alias("tbl"), F.col("action").alias("op"), "payload")
-    seq = F.row_number().over(Window.partitionBy("xid").orderBy("n")) - 1
-    return rows.join(commits, "xid").select("tbl", "op", "lsn", seq.alias("seq"), "commit_ts", "payload")
+    placed = numbered(rows.join(commits, "xid"), ["xid"], [F.col("n")], "__seq", "__first")
+    return placed.select("tbl", "op", "lsn", (F.col("__seq") - 1).alias("seq"), "commit_ts", "payload")
+
+
+def complete_transactions(pending: DataFrame | None, batch: DataFrame, after_lsn: int) -> tuple[DataFrame, DataFrame, int]:
+    """Changes of the transactions that a batch of messages completes, messages to keep until their commit comes, and the greatest commit position so far.
+
+    pending: the messages kept by the step before. Messages that come again count once; those of transactions committed at or before `after_lsn` go with
+    their commit."""
+    messages = (batch if pending is None else pending.unionByName(batch)).dropDuplicates(["xid", "n", "action"])
+    commits = messages.filter("action = 'C'").select("xid", lsn_to_long(F.col("lsn")).alias("lsn"))
+    mark = commits.agg(F.max("lsn")).first()[0]
+    kept = messages.filter("action IN ('I','U','D','T')").join(commits.select("xid").distinct(), "xid", "left_anti").select(*batch.columns)
+    return decode_changes(messages, after_lsn), kept, max(after_lsn, mark if mark is not None else after_lsn)
 
 
 def _latest(changes: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -3,6 +3,8 @@ equivalent for DuckDB under the same name."""
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,7 +12,8 @@ from millrace.functions import columns as c
 from millrace.operators import changes, identity, quality, relational, resources, views
 from millrace.plans.registry import QUERIES, SQL, query
 from millrace.sources.files import table
-from millrace.sources.shared import settle
+from millrace.sources.shared import settle, shared_folder
+from millrace.streaming import capture
 
 AS_OF = "2001-09-28"
 LATE_DAYS = 60
@@ -494,6 +497,18 @@ def cd03(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.filter("_op <> 'D'").select("user_id", "value", "_lsn", "_seq", "_op")
 
 
+@query("cd05_bucketed_state", _CURRENT_SQL)
+def cd05(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same state kept in buckets over four batches of the log, the second of which comes twice."""
+    log = _changes(spark, sf_dir)
+    marks = log.agg(F.percentile_approx("_lsn", [0.25, 0.5, 0.75])).first()[0] or [0, 0, 0]
+    folder = f"{shared_folder(spark)}/state-{uuid4().hex}"
+    parts = [log.filter((F.col("_lsn") > a) & (F.col("_lsn") <= b)) for a, b in zip([-1, *marks], [*marks, 2**62])]
+    for k, batch in enumerate([*parts[:2], parts[1], *parts[2:]]):
+        capture.advance(batch, k, folder, ["user_id"], 16)
+    return capture.read_state(spark, folder).filter("_op <> 'D'").select("user_id", "value", "_lsn", "_seq", "_op")
+
+
 @query("cd08_operation_latency", """WITH e AS (SELECT * REPLACE (date_trunc('millisecond', ts) AS ts) FROM events), d AS (SELECT *, CASE WHEN event_id % 3 = 0 THEN 'I' WHEN event_id % 3 = 1 THEN 'U' ELSE 'D' END AS op, epoch_ms(date_trunc('day', ts) + INTERVAL 1 DAY) / 1000 - epoch_ms(ts) / 1000 AS d FROM e)
     SELECT event_type, count(*) AS changes, round(quantile_cont(d, 0.5), 6) AS p50_s, round(quantile_cont(d, 0.95), 6) AS p95_s, round(max(d), 6) AS max_s, count(*) FILTER (WHERE op = 'I') AS op_I, count(*) FILTER (WHERE op = 'U') AS op_U, count(*) FILTER (WHERE op = 'D') AS op_D FROM d GROUP BY 1""")
 def cd08_operations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from millrace.plans.registry import query
 from millrace.sources import files
 from millrace.sources.files import table
 from millrace.sources.shared import shared_folder
+from millrace.streaming import capture
 
 # --- capture
 
@@ -70,20 +71,44 @@ def cd11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.snapshot_needed(tables, states, health)
 
 
-@query("sc02_routed_changes", """SELECT 'orders' AS tbl, o_orderkey AS id, o_totalprice::DECIMAL(18,2)::VARCHAR AS amount, strftime(o_orderdate, '%Y-%m-%d') AS day, 'I' AS op, o_orderkey // 10 AS lsn, row_number() OVER (PARTITION BY o_orderkey // 10 ORDER BY o_orderkey) - 1 AS seq FROM orders WHERE (o_orderkey // 10) % 7 <> 0 AND o_orderkey // 10 > 20""")
-def sc02(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten orders are a transaction, of which every seventh is not committed; changes up to a position are left out; payloads are typed by their table's schema."""
+_ROUTED_SQL = """SELECT 'orders' AS tbl, o_orderkey AS id, o_totalprice::DECIMAL(18,2)::VARCHAR AS amount, strftime(o_orderdate, '%Y-%m-%d') AS day, 'I' AS op, o_orderkey // 10 AS lsn, row_number() OVER (PARTITION BY o_orderkey // 10 ORDER BY o_orderkey) - 1 AS seq FROM orders WHERE (o_orderkey // 10) % 7 <> 0 AND o_orderkey // 10 > 20"""
+
+
+def _messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Ten orders are a transaction, of which every seventh is not committed: its rows, and its commits."""
     orders = table(spark, sf_dir, "orders").withColumn("xid", F.floor(F.col("o_orderkey") / 10))
     lsn = F.concat(F.lit("0/"), F.hex("xid"))
     body = F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.col("o_totalprice").cast("decimal(18,2)").alias("amount"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")))
     stamp = F.lit(None).cast("timestamp").alias("timestamp")
     rows = orders.select("xid", F.col("o_orderkey").alias("n"), F.lit("I").alias("action"), F.lit("orders").alias("table"), lsn.alias("lsn"), stamp, body.alias("payload"))
     commits = orders.filter("xid % 7 <> 0").select("xid", F.lit(0).cast("long").alias("n"), F.lit("C").alias("action"), F.lit(None).cast("string").alias("table"), lsn.alias("lsn"), stamp, F.lit(None).cast("string").alias("payload")).distinct()
+    return rows, commits
+
+
+def _routed(decoded: DataFrame) -> DataFrame:
+    """Payloads typed by their table's schema."""
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("amount", T.DecimalType(18, 2)), T.StructField("day", T.DateType())])
-    routed = changes.route_changes(changes.decode_changes(rows.unionByName(commits), 20), {"orders": schema})["orders"]
+    routed = changes.route_changes(decoded, {"orders": schema})["orders"]
     return routed.select(F.lit("orders").alias("tbl"), "id", F.col("amount").cast("string").alias("amount"), F.date_format("day", "yyyy-MM-dd").alias("day"), F.col("_op").alias("op"), F.col("_lsn").alias("lsn"), F.col("_seq").cast("long").alias("seq"))
 
 
+@query("sc02_routed_changes", _ROUTED_SQL)
+def sc02(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes up to a position are left out."""
+    rows, commits = _messages(spark, sf_dir)
+    return _routed(changes.decode_changes(rows.unionByName(commits), 20))
+
+
+@query("sc02_split_transactions", _ROUTED_SQL)
+def sc02_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages in four batches: every transaction's rows are split over two and its commit comes in the third; the first comes again in the fourth."""
+    rows, commits = _messages(spark, sf_dir)
+    folder, half = _fresh(spark, "log"), F.col("n") % 2 == 0
+    for k, batch in enumerate((rows.filter(half), rows.filter(~half), commits, rows.filter(half).unionByName(commits.filter("xid % 2 = 0")))):
+        capture.advance_log(batch, k, folder, 20)
+    return _routed(capture.read_changes(spark, folder))
+
+
 @query("sc01_snapshot", "SELECT s_suppkey, s_name, 'S' AS _op, 77 AS _lsn, true AS uncommitted FROM supplier")
 def sc01(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.snapshot_as_changes(table(spark, sf_dir, "supplier"), 77, "r").select("s_suppkey", "s_name", "_op", F.col("_lsn").cast("int").alias("_lsn"), F.col("_commit_ts").isNull().alias("uncommitted"))
