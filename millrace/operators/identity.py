@@ -8,7 +8,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
@@ -118,10 +118,13 @@ def prior_from_rules(found: int, left: int, right: int | None = None, recall: fl
 
 
 def random_pairs(left: DataFrame, right: DataFrame, n: int = 2_000_000, seed: int = 42) -> DataFrame:
-    """About n pairs drawn at random, the same on every run: both sides are dealt to as many buckets by a hash of seed and id as make n pairs meet."""
+    """About n pairs drawn at random, the same on every run. Rows are dealt to buckets by a hash of seed and id, of as many as make n pairs meet in those that
+    are kept; of large tables only some buckets, with about n rows a side, are kept, and no other row is shuffled."""
     sizes = left.agg(F.count(F.lit(1)).alias("l")).crossJoin(right.agg(F.count(F.lit(1)).alias("r"))).first()
-    buckets = max(1, sizes.l * sizes.r // n)
-    dealt = [df.withColumn("__b", F.pmod(F.xxhash64(F.lit(seed + k), id_col), F.lit(buckets))) for k, (df, id_col) in enumerate(((left, "id_l"), (right, "id_r")))]
+    share = min(1.0, n / max(sizes.l, sizes.r, 1))
+    buckets = max(1, int(share * sizes.l * sizes.r / n))
+    bucket = lambda k, id_col: F.pmod(F.xxhash64(F.lit(seed + k), id_col), F.lit(buckets))
+    dealt = [df.withColumn("__b", bucket(k, id_col)).filter(F.col("__b") < math.ceil(share * buckets)) for k, (df, id_col) in enumerate(((left, "id_l"), (right, "id_r")))]
     return dealt[0].join(dealt[1], "__b").drop("__b")
 
 
@@ -136,6 +139,31 @@ def train_m(blocks: Sequence[tuple[DataFrame, Sequence[str]]], comparisons: Sequ
     return {name: {k: sum(p[k] for p in passes) / len(passes) for k in passes[0]} for name, passes in taught.items() if passes}
 
 
+class Model(NamedTuple):
+    """What linkage has learnt: the share of matches among all pairs, and by comparison and level the shares of matches (m) and of random pairs (u)."""
+
+    prior: float
+    m: dict[str, dict[int, float]]
+    u: dict[str, dict[int, float]]
+
+
+def train_model(compared: DataFrame, drawn: DataFrame, comparisons: Sequence[Comparison], blocks: Sequence[tuple[Column, Sequence[str]]], prior: float) -> Model:
+    """u from compared pairs that were drawn at random, m from the candidate pairs by EM within each training block (its condition, and the comparisons it fixes)."""
+    u = gamma_shares(drawn, comparisons)
+    return Model(prior, train_m([(compared.filter(on), fixed) for on, fixed in blocks], comparisons, u, 0.3), u)
+
+
+def store_model(spark: SparkSession, model: Model, path: str) -> None:
+    rows = [(c, k, float(model.m[c][k]), float(model.u[c][k]), model.prior) for c in model.m for k in model.m[c]]
+    spark.createDataFrame(rows, "comparison string, level int, m double, u double, prior double").coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def stored_model(spark: SparkSession, path: str) -> Model:
+    rows = spark.read.parquet(path).collect()
+    values = {name: {c: {r.level: r[name] for r in rows if r.comparison == c} for c in {r.comparison for r in rows}} for name in ("m", "u")}
+    return Model(rows[0].prior, values["m"], values["u"])
+
+
 def score(pairs: DataFrame, comparisons: Sequence[Comparison], m: dict, u: dict, prior: float, threshold: float = 0.01, frequency: dict[str, Column] | None = None) -> DataFrame:
     """match_weight (log2 odds) and match_probability of pairs that reach the threshold.
 

@@ -236,8 +236,7 @@ def one_of_two(a: Focus, b: Focus) -> Focus:
 
 def constant(value: str | int | float | bool) -> Expr:
     """A literal; a float is the decimal that it is written as."""
-    literal = F.parse_json(F.lit(repr(value))) if isinstance(value, float) else F.lit(value).cast("variant")
-    return Expr(lambda c: F.array(literal))
+    return Expr(lambda c: F.array(F.parse_json(F.lit(repr(value))) if isinstance(value, float) else F.lit(value).cast("variant")))
 
 
 def this() -> Expr:

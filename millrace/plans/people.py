@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.operators import identity, relational
 from millrace.plans.registry import query
 from millrace.sources.files import table
+from millrace.sources.shared import settle, shared_folder
 
 #: Full and short first names, by remainder of the key.
 FULL, SHORT = ("robert", "margaret", "william", "elizabeth", "james"), ("bob", "peggy", "bill", "liz", "jim")
@@ -157,6 +159,69 @@ def i09(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "comparison string, level int, m double, u double")
 
 
+_PERSON = ("first", "canonical", "last", "born", "zip", "month")
+
+
+def _side(df: DataFrame, side: str) -> DataFrame:
+    return df.select(F.col("id").alias(f"id_{side}"), *(F.col(c).alias(f"{c}_{side}") for c in _PERSON))
+
+
+def _in_detail(pairs: DataFrame) -> tuple[DataFrame, list[identity.Comparison]]:
+    """Pairs of both people's columns with all levels of names and dates."""
+    pairs = identity.similar_names(pairs, "first_l", "first_r", "similarity")
+    col = lambda c: (F.col(f"{c}_l"), F.col(f"{c}_r"))
+    null = lambda c: col(c)[0].isNull() | col(c)[1].isNull()
+    comparisons = [
+        identity.name_levels(*col("first"), col("canonical")[0] == col("canonical")[1], F.col("similarity"), "first"),
+        identity.Comparison("last", null("last"), (col("last")[0] == col("last")[1], F.levenshtein(*col("last")) <= 1)),
+        identity.date_levels(*col("born"), "born"),
+        identity.Comparison("zip", null("zip"), (col("zip")[0] == col("zip")[1],)),
+    ]
+    return identity.compare(pairs, comparisons), comparisons
+
+
+def trained(spark: SparkSession, left: DataFrame, right: DataFrame, candidates: DataFrame, borrowed: identity.Model | None = None) -> tuple[DataFrame, list[identity.Comparison], identity.Model]:
+    """Compared candidate pairs, and a model of them that was learnt, stored and read back. With `right` the same as `left` pairs within it are drawn, and m is
+    borrowed from a model of linkage, as nearly all pairs within a source are of different people."""
+    within = left is right
+    compared, comparisons = _in_detail(candidates.join(_side(left, "l"), "id_l").join(_side(right, "r"), "id_r"))
+    drawn = identity.random_pairs(_side(left, "l"), _side(right, "r"), n=200_000)
+    drawn, _ = _in_detail(drawn.filter("id_l < id_r") if within else drawn)
+    agree = ["first", "last", "born"]
+    found = left.select("id", *agree).join(right.select(F.col("id").alias("__id"), *agree), agree)
+    n = (found.filter(F.col("id") < F.col("__id")) if within else found).count()
+    prior = identity.prior_from_rules(n, left.count(), None if within else right.count())
+    same = lambda c: F.col(f"{c}_l") == F.col(f"{c}_r")
+    if borrowed is None:
+        model = identity.train_model(compared, drawn, comparisons, [(same("born"), ["born"]), (same("last") & same("zip"), ["last", "zip"])], prior)
+    else:
+        model = identity.Model(prior, borrowed.m, identity.gamma_shares(drawn, comparisons))
+    path = f"{shared_folder(spark)}/linkage-{uuid4().hex}"
+    identity.store_model(spark, model, path)
+    return compared, comparisons, identity.stored_model(spark, path)
+
+
+@query("i10_trained_scores")
+def i10_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores under a model learnt from these very tables, with all levels of first names and dates."""
+    members, others = _sides(spark, sf_dir)
+    candidates = settle(relational.candidate_pairs(others, "id", RULES, members).select("id_l", "id_r"))
+    compared, comparisons, model = trained(spark, others, members, candidates)
+    scored = identity.score(compared, comparisons, model.m, model.u, model.prior)
+    return scored.select("id_l", "id_r", "gamma_first", "gamma_last", "gamma_born", "gamma_zip", F.round("match_weight", 6).alias("match_weight"), F.round("match_probability", 6).alias("match_probability"))
+
+
+@query("i11_trained_dedupe")
+def i11_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs within the second source (every tenth of whose people is added again): m from the linkage, u and prior of its own."""
+    members, others = _sides(spark, sf_dir)
+    _, _, linkage = trained(spark, others, members, settle(relational.candidate_pairs(others, "id", RULES, members).select("id_l", "id_r")))
+    every = settle(others.unionByName(others.filter("id % 10 = 0").withColumn("id", F.col("id") + 50_000_000).withColumn("first", F.col("canonical"))))
+    compared, comparisons, model = trained(spark, every, every, settle(relational.candidate_pairs(every, "id", RULES).select("id_l", "id_r")), linkage)
+    scored = identity.score(compared, comparisons, model.m, model.u, model.prior)
+    return scored.select("id_l", "id_r", F.round("match_weight", 6).alias("match_weight"), F.round("match_probability", 6).alias("match_probability"))
+
+
 _DEDUPE_SQL = _PEOPLE_SQL + """,
     d AS (SELECT * FROM r UNION ALL SELECT id + 50000000, canonical, canonical, last, born, zip FROM r WHERE id % 10 = 0)"""
 
