@@ -78,6 +78,39 @@ def member_export(
     return exported, stack(unknown, out)
 
 
+def payer_export(
+    requested: DataFrame, matched: DataFrame, resources: DataFrame, organizations: DataFrame, as_of: Column, types: Sequence[str] | None = None, until: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(exported, issues) of an export to another payer, at the time it runs: members of its match group whose consent holds on that day, and of their benefits those in scope.
+
+    matched: member_id, consent_start, consent_end (null: open), as kept at the match. resources: as for `member_export`, and kind, served, decided of benefits
+    (type ExplanationOfBenefit). issues name members outside the group and those whose consent has ended or has yet to start."""
+    day = as_of.cast("date")
+    late, early = F.col("consent_end") < day, F.col("consent_start") > day
+    state = matched.groupBy("member_id").agg(F.bool_or(F.coalesce(~late, F.lit(True)) & F.coalesce(~early, F.lit(True))).alias("__holds"), F.bool_or(F.coalesce(early, F.lit(False))).alias("__early"))
+    held = state.filter("__holds").select("member_id")
+    in_scope = (F.col("type") != "ExplanationOfBenefit") | in_exchange_scope(F.col("kind"), F.col("served"), F.col("decided"), as_of)
+    exported, strange = member_export(requested.join(state.filter("NOT __holds"), "member_id", "left_anti"), held, held.limit(0), resources.filter(in_scope), organizations, types, until=until)
+    lapsed = requested.select("member_id").distinct().join(state.filter("NOT __holds"), "member_id").select("member_id", F.when(F.col("__early"), "consent not yet in force").otherwise("consent ended").alias("reason"))
+    return exported, stack(strange, lapsed)
+
+
+def provider_views(attributed: DataFrame, opted_out: DataFrame) -> DataFrame:
+    """(viewer_id, member_id): the members on each provider's list (provider_id, member_id) who have not opted out."""
+    return attributed.select(F.col("provider_id").alias("viewer_id"), "member_id").distinct().join(opted_out.select("member_id"), "member_id", "left_anti").select("viewer_id", "member_id")
+
+
+def payer_views(matched: DataFrame, on: Column) -> DataFrame:
+    """(viewer_id, member_id): the members matched for each payer (payer, member_id, consent_start, consent_end) whose consent holds on a day."""
+    holds = (F.col("consent_start").isNull() | (F.col("consent_start") <= on)) & (F.col("consent_end").isNull() | (F.col("consent_end") >= on))
+    return matched.filter(holds).select(F.col("payer").alias("viewer_id"), "member_id").distinct()
+
+
+def seen_by(views: DataFrame, rows: DataFrame) -> DataFrame:
+    """viewer_id and the rows (with a member_id) that each viewer may see."""
+    return views.join(rows, "member_id").select("viewer_id", *rows.columns)
+
+
 def record_sent(log: DataFrame, exported: DataFrame, at: Column) -> DataFrame:
     """member_id, sent_at: the log with the members of an export set to its time (never back)."""
     now = exported.filter("member_id IS NOT NULL").select("member_id", at.alias("sent_at")).distinct()
@@ -114,11 +147,14 @@ def match_members(requests: DataFrame, members: DataFrame) -> DataFrame:
     return joined.select("request_id", F.when(reason == "member id", F.col("by_id")).when(reason == "demographics", F.col("one")).alias("member_id"), reason.alias("reason"))
 
 
-def bulk_match(requests: DataFrame, members: DataFrame, problem: Column) -> DataFrame:
-    """request_id, member_id, outcome (matched, no match, consent constrained), reason. `problem`: a request's consent problem, from its own columns."""
-    found = match_members(requests, members).join(requests.select("request_id", problem.alias("problem")), "request_id")
+def bulk_match(requests: DataFrame, members: DataFrame, problem: Column, period: tuple[Column, Column] | None = None) -> DataFrame:
+    """request_id, member_id, outcome (matched, no match, consent constrained), reason. `problem`: a request's consent problem, from its own columns; `period`:
+    its consent's first and last day, which then stay with the match as consent_start and consent_end, to be held against the day of each export."""
+    kept = [] if period is None else [day.alias(name) for day, name in zip(period, ("consent_start", "consent_end"), strict=True)]
+    found = match_members(requests, members).join(requests.select("request_id", problem.alias("problem"), *kept), "request_id")
     outcome = F.when(F.col("member_id").isNull(), "no match").when(F.col("problem").isNotNull(), "consent constrained").otherwise("matched")
-    return found.select("request_id", F.when(outcome == "matched", F.col("member_id")).alias("member_id"), outcome.alias("outcome"), F.when(outcome == "consent constrained", F.col("problem")).otherwise(F.col("reason")).alias("reason"))
+    return found.select("request_id", F.when(outcome == "matched", F.col("member_id")).alias("member_id"), outcome.alias("outcome"), F.when(outcome == "consent constrained", F.col("problem")).otherwise(F.col("reason")).alias("reason"),
+                        *(F.when(outcome == "matched", F.col(c)).alias(c) for c in (("consent_start", "consent_end") if kept else ())))
 
 
 # --- authorization

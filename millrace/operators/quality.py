@@ -49,10 +49,18 @@ def quality_history(metrics: DataFrame, runs: DataFrame, series: Sequence[str])
     return joined.withColumn("change", F.col("value") - F.col("previous_value"))
 
 
-def compare_sets(expected: DataFrame, actual: DataFrame, id_col: str, body: str) -> DataFrame:
-    """missing, extra, different: ids of one side only, and bodies that differ."""
-    e = expected.select(F.col(id_col).alias("e_id"), F.col(body).alias("e_body"))
-    a = actual.select(F.col(id_col).alias("a_id"), F.col(body).alias("a_body"))
+def _members(body: Column, ignored: Sequence[str]) -> Column:
+    """Members of a JSON object in order of their names, each as text of its own, without some."""
+    members = F.try_variant_get(F.parse_json(body), "$", "map<string,variant>")
+    return F.array_sort(F.map_entries(F.transform_values(F.map_filter(members, lambda name, _: ~name.isin(*ignored)), lambda _, v: F.to_json(v))))
+
+
+def compare_sets(expected: DataFrame, actual: DataFrame, id_col: str, body: str, ignored: Sequence[str] | None = None) -> DataFrame:
+    """missing, extra, different: ids of one side only, and bodies that differ: as texts, or, where members to be ignored are named, as JSON objects but for
+    these (the order of members does not count then)."""
+    whole = F.col(body) if ignored is None else _members(F.col(body), ignored or ("",))
+    e = expected.select(F.col(id_col).alias("e_id"), whole.alias("e_body"))
+    a = actual.select(F.col(id_col).alias("a_id"), whole.alias("a_body"))
     both = e.join(a, F.col("e_id") == F.col("a_id"), "full")
     return both.agg(F.count_if(F.col("a_id").isNull()).alias("missing"), F.count_if(F.col("e_id").isNull()).alias("extra"), F.count_if(F.col("e_id").isNotNull() & F.col("a_id").isNotNull() & ~F.col("e_body").eqNullSafe(F.col("a_body"))).alias("different"))
 

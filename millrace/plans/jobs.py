@@ -269,3 +269,33 @@ def x13(spark: SparkSession, sf_dir: str) -> DataFrame:
 def x14(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("l_suppkey").alias("provider_id"), F.col("o_custkey").alias("member_id"), "l_returnflag", "o_orderstatus")
     return jobs.attribution([("claim", both.filter("l_returnflag = 'R'")), ("request", both.filter("o_orderstatus = 'P'"))], least=2)
+
+
+@query("x01_payer_export", f"""WITH m AS (SELECT c_custkey AS m, DATE '2000-01-01' AS a, CASE WHEN c_custkey % 4 = 0 THEN DATE '{AS_OF}' - 1 WHEN c_custkey % 4 = 1 THEN DATE '{AS_OF}' END AS b FROM customer WHERE c_custkey % 6 <> 0)
+    SELECT 'ExplanationOfBenefit' AS type, o_orderkey AS id, m AS member_id, NULL AS reason FROM orders JOIN m ON o_custkey = m WHERE (b IS NULL OR b >= DATE '{AS_OF}') AND (CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus = 'O' OR {_DAY} + 5 >= DATE '{AS_OF}' - 365 ELSE {_DAY} >= DATE '{AS_OF}' - INTERVAL 5 YEAR END)
+    UNION ALL SELECT NULL, NULL, c_custkey, CASE WHEN m IS NULL THEN 'not a member' ELSE 'consent ended' END FROM customer LEFT JOIN m ON c_custkey = m WHERE m IS NULL OR b < DATE '{AS_OF}'""")
+def x01_payer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as benefits, a third of them authorizations; every sixth customer is outside the group, every fourth one's consent ended the day before."""
+    customers, k, as_of = table(spark, sf_dir, "customer"), F.col("c_custkey"), F.lit(AS_OF).cast("date")
+    matched = customers.filter(k % 6 != 0).select(k.alias("member_id"), F.lit("2000-01-01").cast("date").alias("consent_start"), F.when(k % 4 == 0, F.date_sub(as_of, 1)).when(k % 4 == 1, as_of).alias("consent_end"))
+    benefit = F.col("o_orderkey") % 3
+    resources = _orders(spark, sf_dir).select(
+        F.lit("ExplanationOfBenefit").alias("type"), F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("member_id"), F.col("day").alias("updated"), F.lit(None).cast("long").alias("organization_id"),
+        F.when(benefit == 0, "authorization").otherwise("claim").alias("kind"), F.col("day").alias("served"), F.when(F.col("o_orderstatus") != "O", F.date_add("day", 5)).alias("decided"),
+    )
+    none = spark.createDataFrame([], "id long")
+    exported, issues = jobs.payer_export(customers.select(k.alias("member_id")), matched, resources, none, as_of)
+    return exported.withColumn("reason", F.lit(None).cast("string")).unionByName(issues, allowMissingColumns=True).select("type", "id", "member_id", "reason")
+
+
+@query("x05_provider_and_payer_views", f"""WITH v AS (SELECT DISTINCT 'provider ' || l_suppkey AS viewer_id, o_custkey AS m FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE c_acctbal >= 0
+    UNION ALL SELECT 'payer ' || c_nationkey, c_custkey FROM customer WHERE c_custkey % 3 <> 0 AND (c_custkey % 4 <> 0 OR c_custkey % 8 = 0)) SELECT viewer_id, count(*) AS orders, sum(o_orderkey)::BIGINT AS keys FROM v JOIN orders ON o_custkey = m GROUP BY 1""")
+def x05_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each provider (members with its lines) and each payer (a nation's customers with a consent in force) may see: orders by viewer."""
+    customers, orders, k, as_of = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"), F.col("c_custkey"), F.lit(AS_OF).cast("date")
+    lines = table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    attributed = lines.select(F.concat(F.lit("provider "), F.col("l_suppkey").cast("string")).alias("provider_id"), F.col("o_custkey").alias("member_id"))
+    ends = F.when(k % 8 == 0, as_of).when(k % 4 == 0, F.date_sub(as_of, 1))
+    matched = customers.filter(k % 3 != 0).select(F.concat(F.lit("payer "), F.col("c_nationkey").cast("string")).alias("payer"), k.alias("member_id"), F.lit(None).cast("date").alias("consent_start"), ends.alias("consent_end"))
+    views = jobs.provider_views(attributed, customers.filter("c_acctbal < 0").select(k.alias("member_id"))).unionByName(jobs.payer_views(matched, as_of))
+    return jobs.seen_by(views, orders.select(F.col("o_custkey").alias("member_id"), "o_orderkey")).groupBy("viewer_id").agg(F.count(F.lit(1)).alias("orders"), F.sum("o_orderkey").alias("keys"))

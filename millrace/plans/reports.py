@@ -329,3 +329,40 @@ def f06(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("f11_plain_letters", "SELECT doc_id, regexp_replace(lower(strip_accents(text)), '[^a-z]', '', 'g') AS letters FROM documents")
 def f11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", c.norm_ascii(F.col("text")).alias("letters"))
+
+
+@query("q13_compare_without_meta", "SELECT count(*) FILTER (WHERE o_orderkey % 10 = 0) AS missing, 0 AS extra, count(*) FILTER (WHERE o_orderkey % 7 = 0 AND o_orderkey % 10 <> 0) AS different FROM orders")
+def q13_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exported orders with other `meta` and members in another order; every tenth is missing, every seventh has another total."""
+    k, total, customer = F.col("o_orderkey"), F.col("o_totalprice"), F.col("o_custkey").alias("customer")
+    stamp = lambda text: F.struct(F.lit(text).alias("lastUpdated")).alias("meta")
+    gold = table(spark, sf_dir, "orders").select(k, F.to_json(F.struct(stamp("then"), customer, total.alias("total"))).alias("body"))
+    sent = table(spark, sf_dir, "orders").filter(k % 10 != 0).select(k, F.to_json(F.struct(F.when(k % 7 == 0, total + 1).otherwise(total).alias("total"), stamp("now"), customer)).alias("body"))
+    return quality.compare_sets(gold, sent, "o_orderkey", "body", ignored=["meta"])
+
+
+@query("a02_rounded_average", "SELECT o_orderpriority, min(o_totalprice) AS least, max(o_totalprice) AS most, round(avg(o_totalprice), 2) AS average FROM orders GROUP BY 1")
+def a02(spark: SparkSession, sf_dir: str) -> DataFrame:
+    total = F.col("o_totalprice")
+    return table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.min(total).alias("least"), F.max(total).alias("most"), F.round(F.avg(total), 2).alias("average"))
+
+
+@query("w03_nulls_first", "SELECT user_id, event_id, CASE WHEN event_id % 50 <> 0 THEN value END AS value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY CASE WHEN event_id % 50 <> 0 THEN value END ASC NULLS FIRST, event_id) = 1")
+def w03(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first event of each user by value, those without one before all others."""
+    events = table(spark, sf_dir, "events").withColumn("value", F.when(F.col("event_id") % 50 != 0, F.col("value")))
+    return relational.latest_per_key(events, ["user_id"], [F.asc_nulls_first("value"), F.asc("event_id")]).select("user_id", "event_id", "value")
+
+
+@query("j19_reference_closure", """WITH e AS (SELECT c_custkey AS c, c_nationkey AS n, n_regionkey AS r, (SELECT min(x.n_nationkey) FROM nation x WHERE x.n_regionkey = nation.n_regionkey) AS back FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    t AS (SELECT 'c' || c AS focal, 'c' || c AS target FROM e UNION SELECT 'c' || c, 'n' || n FROM e UNION SELECT 'c' || c, 'r' || r FROM e UNION SELECT 'c' || c, 'n' || back FROM e)
+    SELECT focal, target, NOT starts_with(target, 'n') OR substr(target, 2)::INT % 7 <> 0 AS found FROM t""")
+def j19(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All that each customer reaches: its nation, the nation's region, the region's first nation (a cycle for some); every seventh nation is nowhere to be found."""
+    name = lambda kind, c: F.concat(F.lit(kind), F.col(c).cast("string"))
+    customers, nations = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    first = nations.groupBy("n_regionkey").agg(F.min("n_nationkey").alias("back"))
+    edges = relational.stack(*(df.select(name(*a).alias("source"), name(*b).alias("target")) for df, a, b in ((customers, ("c", "c_custkey"), ("n", "c_nationkey")), (nations, ("n", "n_nationkey"), ("r", "n_regionkey")), (first, ("r", "n_regionkey"), ("n", "back")))))
+    ids = [df.select(name(*a).alias("id")) for df, a in ((customers, ("c", "c_custkey")), (nations.filter("n_nationkey % 7 <> 0"), ("n", "n_nationkey")), (first, ("r", "n_regionkey")))]
+    found, lost = relational.reference_closure(ids[0], edges, relational.stack(*ids))
+    return found.withColumn("found", F.lit(True)).unionByName(lost.withColumn("found", F.lit(False)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,18 @@ def read_resources(spark: SparkSession, path: str, run_id: str) -> DataFrame:
     return spark.read.text(path).filter("trim(value) <> ''").select(F.parse_json("value").alias("resource"), name.alias("resource_type"), F.col("_metadata.file_name").alias("_source_file"), F.current_timestamp().alias("_loaded_at"), F.lit(run_id).alias("_run_id"))
 
 
+def landing_table(resource_type: Column) -> Column:
+    """The table that resources of a type land in: the type's name in lower case, its words apart (`ExplanationOfBenefit`: `explanation_of_benefit`)."""
+    return F.lower(F.regexp_replace(resource_type, "(?<!^)(?=[A-Z])", "_"))
+
+
+def land_resources(resources: DataFrame, folder: str) -> DataFrame:
+    """Writes resources read from files to one table a type under a folder; resource_table, rows of each."""
+    named = resources.withColumn("resource_table", landing_table(F.col("resource_type"))).withColumn("resource", F.to_json("resource"))
+    named.write.partitionBy("resource_table").mode("overwrite").parquet(folder)
+    return resources.sparkSession.read.parquet(folder).groupBy("resource_table").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def read_delimited(spark: SparkSession, path: str, sep: str = "|", encoding: str = "UTF-8", quote: str = "") -> DataFrame:
     """Every column as text; the header names them."""
     return spark.read.csv(path, sep=sep, header=True, inferSchema=False, encoding=encoding, quote=quote)
