@@ -17,7 +17,7 @@ END_ID = 2
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge(table(spark, sf_dir, "pages"))
+    return url_filter.judge(table(spark, sf_dir, "pages"), cautious=True)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

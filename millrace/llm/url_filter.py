@@ -6,6 +6,10 @@ if none of these shares of their pages differs by more than Hoeffding's bound al
 distinct next segments, and, where both have labels, blocked ones among labelled ones. A node with fewer than `SUPPORT` pages is not divided: a tail
 wildcard stands for the rest of its paths. So every wildcard comes from counts, not from how a segment is written, and paths may be of any depth.
 
+With `cautious`, what is not known merges nothing: a branch is like its siblings only if both sides have enough pages for the bound to be below `GAP`, and
+both or neither have labels; a rare branch whose segment stands at this depth on at least `SUPPORT` hosts is a fixed word (such as a language), not a variable;
+and only templates with labels of their own are rejected.
+
 A template (a leaf of the merged tree) is rejected if its share of blocked pages among labelled ones, smoothed towards its host's (itself smoothed
 towards one half), is high. Labels come from rules that fix a verdict for hosts and path prefixes; a rule's own verdict always stands. Pages of a
 host without any label have no evidence against them and are allowed.
@@ -41,6 +45,8 @@ class Rule(NamedTuple):
 
 RULES = (Rule("org", "/", "allow"), Rule("example.org", "/es/", "block"), Rule("example.org", "/en/1", "block"), Rule("com", "/fr/", "allow"), Rule("com", "/de/", "block"))
 SUPPORT, ALPHA, SMOOTHING, REJECT = 5, 0.05, 4.0, 0.7
+#: Shares further apart than this must be told apart before branches may be called alike.
+GAP = 0.5
 ANY, TAIL = "*", "**"
 
 
@@ -67,21 +73,28 @@ def segments(path: Column) -> Column:
 _COUNTS = ("n", "labelled", "blocked", "end_0", "end_1", "end_2")
 
 
+def _bound(of: Column, other: Column) -> Column:
+    return math.sqrt(0.5 * math.log(2 / ALPHA)) * (1 / F.sqrt(of) + 1 / F.sqrt(other))
+
+
 def _alike(hits: Column, of: Column, other_hits: Column, other: Column) -> Column:
     """Whether two shares are within Hoeffding's bound of each other; a side without rows says nothing."""
-    bound = math.sqrt(0.5 * math.log(2 / ALPHA)) * (1 / F.sqrt(of) + 1 / F.sqrt(other))
-    return (of == 0) | (other == 0) | (F.abs(hits / of - other_hits / other) < bound)
+    return (of == 0) | (other == 0) | (F.abs(hits / of - other_hits / other) < _bound(of, other))
 
 
-def _merged() -> Column:
-    """Whether a branch becomes the wildcard, from its own counts and those of all branches of its node."""
+def _merged(cautious: bool) -> Column:
+    """Whether a branch becomes the wildcard, from its own counts and those of all branches of its node (and how many hosts have its segment here)."""
     n, rest = F.col("n"), F.col("all_n") - F.col("n")
     like = [_alike(F.col(c), n, F.col(f"all_{c}") - F.col(c), rest) for c in ("end_0", "end_1", "end_2", "next")]
     like.append(_alike(F.col("blocked"), F.col("labelled"), F.col("all_blocked") - F.col("blocked"), F.col("all_labelled") - F.col("labelled")))
-    return (F.col("siblings") > 1) & ((n < SUPPORT) | reduce(Column.__and__, like))
+    rare, same = n < SUPPORT, reduce(Column.__and__, like)
+    if cautious:
+        rare &= F.col("hosts") < SUPPORT
+        same &= ~(n < SUPPORT) & (rest > 0) & (_bound(n, rest) < GAP) & ((F.col("labelled") > 0) == (F.col("all_labelled") - F.col("labelled") > 0))
+    return (F.col("siblings") > 1) & (rare | same)
 
 
-def templates(pages: DataFrame) -> DataFrame:
+def templates(pages: DataFrame, cautious: bool = False) -> DataFrame:
     """(host, path, template, labelled, blocked) from pages of (host, path, labelled, blocked); paths and templates are lists of segments."""
     spark, folder = pages.sparkSession, scratch(pages.sparkSession, "templates")
     paths = pages.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
@@ -97,7 +110,12 @@ def templates(pages: DataFrame) -> DataFrame:
         following = at.groupBy("host", "template", "branch", F.try_element_at("rest", F.lit(2)).alias("following")).agg(*(F.sum(c).alias(c) for c in _COUNTS[:3]), *ends)
         branches = following.groupBy("host", "template", "branch").agg(*(F.sum(c).alias(c) for c in _COUNTS), F.count(F.lit(1)).alias("next"))
         nodes = branches.groupBy("host", "template").agg(F.count(F.lit(1)).alias("siblings"), *(F.sum(c).alias(f"all_{c}") for c in (*_COUNTS, "next")))
-        name = F.when(F.col("all_n") < SUPPORT, TAIL).when(_merged(), ANY).otherwise(F.col("branch"))
+        # A node of few pages has a tail, cautiously only below its first segment, which may be a fixed word.
+        few = (F.col("all_n") < SUPPORT) & (F.col("hosts") < SUPPORT if cautious else F.lit(True))
+        name = F.when(few, TAIL).when(_merged(cautious), ANY).otherwise(F.col("branch"))
+        if cautious:
+            hosts = branches.select("host", "branch").distinct().groupBy("branch").agg(F.count(F.lit(1)).alias("hosts"))
+            branches = salted_join(branches, hosts, "branch", "host")
         named = salted_join(branches, nodes, ["host", "template"], "branch").select("host", "template", "branch", name.alias("name"))
         grown = salted_join(at, named, ["host", "template", "branch"], "rest").withColumn("template", F.concat("template", F.array("name")))
         grown = grown.withColumn("rest", F.slice("rest", 2, F.greatest(F.size("rest"), F.lit(1))))
@@ -105,23 +123,24 @@ def templates(pages: DataFrame) -> DataFrame:
     return spark.read.schema(tree.schema).parquet(*(f"{folder}/level={k}" for k in range(level + 1))).filter("done").select("host", "path", "template", "labelled", "blocked")
 
 
-def rejected(tree: DataFrame) -> DataFrame:
-    """(host, template) of the templates whose smoothed share of blocked pages is at least `REJECT`."""
+def rejected(tree: DataFrame, cautious: bool = False) -> DataFrame:
+    """(host, template) of the templates whose smoothed share of blocked pages is at least `REJECT`; cautiously, of those with labels."""
     leaves = tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
     hosts = leaves.groupBy("host").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
     prior = hosts.select("host", ((F.col("b") + SMOOTHING / 2) / (F.col("l") + SMOOTHING)).alias("prior"))
     purity = (F.col("blocked") + SMOOTHING * F.col("prior")) / (F.col("labelled") + SMOOTHING)
-    return leaves.join(prior, "host").filter(purity >= REJECT).select("host", "template")
+    judged = leaves.filter("labelled > 0") if cautious else leaves
+    return judged.join(prior, "host").filter(purity >= REJECT).select("host", "template")
 
 
-def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, page_id: str = "page_id", url: str = "url") -> DataFrame:
+def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, page_id: str = "page_id", url: str = "url", cautious: bool = False) -> DataFrame:
     """page_id, host, path, rule, verdict and template of every row of `pages`."""
     host, path = url_parts(F.col(url))
     read = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
     read = read.withColumn("fixed", rule_of(F.col("host"), F.col("path"), rules)).withColumn("steps", segments(F.col("path")))
     seen = read.select("host", F.col("steps").alias("path"), F.col("fixed").isNotNull().cast("long").alias("labelled"), F.coalesce((F.col("fixed.verdict") == "block").cast("long"), F.lit(0)).alias("blocked"))
-    tree = templates(seen)
-    verdicts = tree.select("host", F.col("path").alias("steps"), "template").join(rejected(tree).withColumn("bad", F.lit(True)), ["host", "template"], "left")
+    tree = templates(seen, cautious)
+    verdicts = tree.select("host", F.col("path").alias("steps"), "template").join(rejected(tree, cautious).withColumn("bad", F.lit(True)), ["host", "template"], "left")
     out = read.join(verdicts, ["host", "steps"], "left")
     return out.select(
         "page_id", "host", "path", F.col("fixed.rule").alias("rule"),
