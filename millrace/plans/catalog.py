@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as c
+from millrace.functions.sketches import sketches
 from millrace.operators import changes, identity, quality, relational, resources, views
 from millrace.plans.registry import QUERIES, SQL, query
 from millrace.sources.files import table
@@ -640,34 +641,31 @@ def i06(spark: SparkSession, sf_dir: str) -> DataFrame:
 SKETCH = 64
 
 
-def _rehashed(hashes: str, seed: int) -> Column:
-    return F.transform(hashes, lambda h: F.xxhash64(F.lit(seed), h))
-
-
 @query("i10_linkage")
 def i10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies among documents. Equal texts are one: of them the least id is compared, and each copy is paired with it alone. Distinct texts are blocked by
     pairs of least hashes over all their runs of three words (under eight hash functions), compared by sketch, opening, closing
     and length, with u from random pairs and m and the share of matches by EM."""
-    words = F.split(F.lower(F.coalesce("text", F.lit(""))), "[ \\n]+")
-    pairs_of = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.xxhash64(a, b))
-    hashes = F.array_sort(F.array_distinct(F.zip_with(pairs_of, F.slice(words, 3, F.size(words)), lambda ab, w: F.xxhash64(ab, w))))
+    compared_by = ("n_chars", "opening", "closing", "sketch")
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "n_chars", F.substring_index("text", " ", 8).alias("opening"), F.substring_index("text", " ", -8).alias("closing"),
-        F.slice(hashes, 1, SKETCH).alias("sketch"), hashes.alias("hashes"), F.md5(F.coalesce("text", F.lit(""))).alias("same"),
+        F.md5(F.coalesce("text", F.lit(""))).alias("same"), sketches(F.col("text"), size=SKETCH).alias("s"),
     )
-    docs = settle(docs.select("*", *(F.array_min(_rehashed("hashes", k)).alias(f"least_{k}") for k in range(8))).drop("hashes"))
-    first = docs.groupBy("same").agg(F.min("doc_id").alias("id_l"))
-    copies = relational.salted_join(docs.select("same", "doc_id"), first, "same", "doc_id").filter("doc_id > id_l").select("id_l", F.col("doc_id").alias("id_r"))
-    distinct = docs.join(first.select(F.col("id_l").alias("doc_id")), "doc_id", "left_semi")
-    pairs = relational.candidate_pairs(distinct, "doc_id", [[f"least_{k}", f"least_{k + 1}"] for k in (0, 2, 4, 6)]).select("id_l", "id_r").unionByName(copies)
-    sides = [docs.select(F.col("doc_id").alias(f"id_{s}"), *(F.col(x).alias(f"{x}_{s}") for x in ("n_chars", "opening", "closing", "sketch"))) for s in ("l", "r")]
+    docs = settle(docs.select("doc_id", *compared_by[:3], "same", "s.sketch", *(F.get("s.least", F.lit(k)).alias(f"least_{k}") for k in range(8))))
+    row = F.struct(*(x for x in docs.columns if x != "same"))
+    distinct = settle(docs.groupBy("same").agg(F.min_by(row, "doc_id").alias("d"), F.count(F.lit(1)).alias("n")).select("same", "d.*", "n"))
+    # Equal texts agree in all but perhaps the given length, so only that is fetched from the first of them.
+    firsts = distinct.filter("n > 1").select("same", F.col("doc_id").alias("id_l"), F.col("n_chars").alias("n_chars_l"))
+    copies = relational.salted_join(docs, firsts, "same", "doc_id").filter("doc_id > id_l")
+    copies = copies.select("id_l", F.col("doc_id").alias("id_r"), "n_chars_l", F.col("n_chars").alias("n_chars_r"), *(F.col(x).alias(f"{x}_{s}") for x in compared_by[1:] for s in "lr"))
+    pairs = relational.candidate_pairs(distinct, "doc_id", [[f"least_{k}", f"least_{k + 1}"] for k in (0, 2, 4, 6)], carry=compared_by).drop("rule").unionByName(copies)
+    sides = [docs.select(F.col("doc_id").alias(f"id_{s}"), *(F.col(x).alias(f"{x}_{s}") for x in compared_by)) for s in ("l", "r")]
     either_null = lambda x: F.col(f"{x}_l").isNull() | F.col(f"{x}_r").isNull()
     near = lambda x: identity.Comparison(x, either_null(x), (F.col(f"{x}_l") == F.col(f"{x}_r"), F.levenshtein(f"{x}_l", f"{x}_r", 5) >= 0))
     length = identity.Comparison("n_chars", either_null("n_chars"), (F.col("n_chars_l") == F.col("n_chars_r"), F.abs(F.col("n_chars_l") - F.col("n_chars_r")) <= 20))
     shared = F.size(F.array_intersect("sketch_l", "sketch_r")) / F.greatest(F.size("sketch_l"), F.size("sketch_r"))
     comparisons = [identity.Comparison("sketch", either_null("sketch"), (shared >= 0.75, shared >= 0.4)), near("opening"), near("closing"), length]
-    compared = settle(identity.compare(pairs.join(sides[0], "id_l").join(sides[1], "id_r"), comparisons).select("id_l", "id_r", *(f"gamma_{c_.name}" for c_ in comparisons)))
+    compared = settle(identity.compare(pairs, comparisons).select("id_l", "id_r", *(f"gamma_{c_.name}" for c_ in comparisons)))
     u = identity.gamma_shares(identity.compare(identity.random_pairs(*sides, n=100_000), comparisons), comparisons)
     m, prior = identity.estimate_m(compared, comparisons, u, 0.5)
     scored = identity.decide_pairs(identity.score(compared, comparisons, m, u, min(max(prior, 1e-6), 1 - 1e-6)))
