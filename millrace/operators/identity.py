@@ -42,10 +42,62 @@ def jaro_winkler(a: str, b: str) -> float:
     return jaro + 0.1 * prefix * (1 - jaro)
 
 
+#: Pairs of names that are compared side by side.
+_NAMES_AT_ONCE = 4096
+
+
+def _code_points(names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A row of code points for each name, filled up with zeros, and the lengths."""
+    wide = np.array(names, dtype=np.str_)
+    width = max(1, wide.dtype.itemsize // 4)
+    return np.ascontiguousarray(wide).view(np.uint32).reshape(len(names), width), np.array([len(x) for x in names])
+
+
+def jaro_winkler_all(a: list[str], b: list[str]) -> np.ndarray:
+    """`jaro_winkler` of many pairs: each step of the matching is taken for all pairs at once, so steps grow with the longest name, not with the pairs."""
+    left, n_left = _code_points(a)
+    right, n_right = _code_points(b)
+    reach = np.maximum(0, np.maximum(n_left, n_right) // 2 - 1)
+    place = np.arange(right.shape[1])
+    free = place < n_right[:, None]
+    taken = np.zeros(left.shape, bool)
+    for i in range(left.shape[1]):
+        fits = free & (right == left[:, i : i + 1]) & (np.abs(place - i) <= reach[:, None]) & (i < n_left)[:, None]
+        hit = np.flatnonzero(fits.any(1))
+        free[hit, fits[hit].argmax(1)] = False
+        taken[hit, i] = True
+    used = ~free & (place < n_right[:, None])
+    m = taken.sum(1)
+    # The matched characters of both sides in their order, pair by pair; a pair has as many on either side.
+    differ = left[taken] != right[used]
+    swaps = np.bincount(np.repeat(np.arange(len(m)), m)[differ], minlength=len(m)) // 2
+    some = np.maximum(m, 1)
+    jaro = np.where(m > 0, (m / np.maximum(n_left, 1) + m / np.maximum(n_right, 1) + (m - swaps) / some) / 3, 0.0)
+    width = min(4, left.shape[1], right.shape[1])
+    equal = (left[:, :width] == right[:, :width]) & (np.arange(width) < np.minimum(n_left, n_right)[:, None])
+    prefix = np.logical_and.accumulate(equal, axis=1).sum(1)
+    return np.where(jaro > 0.7, jaro + 0.1 * prefix * (1 - jaro), jaro)
+
+
 @pandas_udf(T.DoubleType())
 def jaro_winkler_udf(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """Null where a side is null. Pairs are taken by length, so that a long name does not widen the rows of short ones; names with a zero character go one by one."""
     for a, b in pairs:
-        yield pd.Series([None if x is None or y is None else jaro_winkler(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+        out = np.full(len(a), np.nan)
+        known = np.flatnonzero((a.notna() & b.notna()).to_numpy())
+        odd = np.array([chr(0) in a.iat[k] or chr(0) in b.iat[k] for k in known], bool)
+        out[known[odd]] = [jaro_winkler(a.iat[k], b.iat[k]) for k in known[odd]]
+        plain = known[~odd]
+        longest = np.array([max(len(a.iat[k]), len(b.iat[k])) for k in plain])
+        plain, longest = plain[np.argsort(longest, kind="stable")], np.sort(longest)
+        at = 0
+        while at < len(plain):
+            # So many that their tables of characters stay small.
+            n = max(1, min(_NAMES_AT_ONCE, (1 << 22) // max(1, longest[min(at + _NAMES_AT_ONCE, len(plain)) - 1])))
+            part = plain[at : at + n]
+            out[part] = jaro_winkler_all([a.iat[k] for k in part], [b.iat[k] for k in part])
+            at += n
+        yield pd.Series(out)
 
 
 def similar_names(pairs: DataFrame, a: str, b: str, as_col: str) -> DataFrame:
@@ -78,13 +130,13 @@ def term_frequencies(people: DataFrame, column: str) -> DataFrame:
 
 
 def gamma_shares(pairs: DataFrame, comparisons: Sequence[Comparison]) -> dict[str, dict[int, float]]:
-    """Share of pairs at each level of each comparison (nulls left out): u, if the pairs were drawn at random."""
+    """Share of pairs at each level of each comparison (nulls left out): u, if the pairs were drawn at random. One pass counts the patterns of levels."""
+    names = [f"gamma_{c.name}" for c in comparisons]
+    patterns = pairs.groupBy(*names).count().collect()
     out: dict[str, dict[int, float]] = {}
-    for c in comparisons:
-        g = f"gamma_{c.name}"
-        rows = pairs.filter(F.col(g) >= 0).groupBy(g).count().collect()
-        total = sum(r["count"] for r in rows)
-        out[c.name] = {k: (sum(r["count"] for r in rows if r[g] == k) + 1) / (total + len(c.levels) + 1) for k in range(len(c.levels) + 1)}
+    for c, g in zip(comparisons, names, strict=True):
+        seen = [sum(r["count"] for r in patterns if r[g] == k) for k in range(len(c.levels) + 1)]
+        out[c.name] = {k: (n + 1) / (sum(seen) + len(seen)) for k, n in enumerate(seen)}
     return out
 
 
