@@ -118,12 +118,22 @@ def advance_state(state: DataFrame | None, batch: DataFrame, key: Sequence[str])
     return merge_state(fresh if state is None else after_cut(state, cut), fresh, key)
 
 
+def resets(states: DataFrame, changes: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """key, reset: for each table, as `key` names it, that has a state or changes, whether its state must be rebuilt: it is empty, another snapshot has come, or a
+    truncation lies beyond it. All tables are judged in one pass over each side."""
+    keys = [key] if isinstance(key, str) else list(key)
+    snapshot = F.max(F.when(F.col("_op") == "S", F.col("_lsn")))
+    s = states.groupBy(*keys).agg(F.max("_lsn").alias("__mark"), snapshot.alias("__had"))
+    c = changes.groupBy(*keys).agg(F.max(F.when(F.col("_op") == "T", F.col("_lsn"))).alias("__cut"), snapshot.alias("__got"))
+    tests = (F.col("__mark").isNull(), F.col("__got") != F.col("__had"), F.col("__cut") > F.col("__mark"))
+    return s.join(c, keys, "full").select(*keys, F.greatest(*(F.coalesce(test, F.lit(False)) for test in tests)).alias("reset"))
+
+
 def needs_reset(state: DataFrame, changes: DataFrame) -> bool:
-    """Whether the state must be rebuilt: it is empty, another snapshot has come, or a truncation lies beyond it."""
-    s = state.agg(F.max("_lsn").alias("mark"), F.max(F.when(F.col("_op") == "S", F.col("_lsn"))).alias("snapshot")).first()
-    c = changes.agg(F.max(F.when(F.col("_op") == "T", F.col("_lsn"))).alias("cut"), F.max(F.when(F.col("_op") == "S", F.col("_lsn"))).alias("snapshot")).first()
-    other = c.snapshot is not None and s.snapshot is not None and c.snapshot != s.snapshot
-    return s.mark is None or other or (c.cut is not None and c.cut > s.mark)
+    """`resets` of one table; a table without state and changes is rebuilt, too."""
+    one = lambda df: df.withColumn("__table", F.lit(0))
+    found = resets(one(state), one(changes), "__table").first()
+    return found is None or found.reset
 
 
 def change_latency(changes: DataFrame, key: str, started: str, ended: str) -> DataFrame:

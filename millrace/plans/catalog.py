@@ -702,6 +702,6 @@ def x01(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(visible, F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("o_orderkey", "o_custkey")
 
 
-from millrace.plans import benefits, documents, jobs, people, reports  # noqa: E402, F401  (registers its queries)
+from millrace.plans import benefits, documents, jobs, people, reports, upkeep  # noqa: E402, F401  (registers its queries)
 
 __all__ = ["QUERIES", "SQL", "fct_claims"]

@@ -128,12 +128,14 @@ def write_ndjson_by_type(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema("resource_type string, rows long").json(f"{path}/manifest")
 
 
-def collect_runs(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(runs, metrics) of snapshot files; of files with the same run the later path wins."""
+def collect_runs(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(runs, metrics) of snapshot files (an object or a list each; without `multi_line`, an object a line); of files with the same run the later path wins."""
     schema = "run_key string, run_at timestamp, metrics array<struct<area:string,metric:string,dimension:string,value:double>>"
-    parts = [spark.read.schema(schema).json(p, multiLine=True).withColumn("__at", F.lit(k)) for k, p in enumerate(paths)]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    last = every.groupBy("run_key").agg(F.max_by(F.struct("run_at", "metrics"), "__at").alias("r")).select("run_key", "r.*")
+    # A file belongs to the last of the given paths that it is, or lies below; all are read at once.
+    plain = [p.split("://", 1)[-1].removeprefix("file:").rstrip("/") for p in paths]
+    file = F.regexp_replace(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), "^[a-z0-9]+:/+", "/")
+    belongs = lambda p: file.endswith(p) | file.contains(F.concat(p, F.lit("/")))
+    at = F.array_max(F.transform(F.array(*map(F.lit, plain)), lambda p, k: F.when(belongs(p), k)))
+    every = spark.read.schema(schema).json(list(paths), multiLine=multi_line).withColumn("__at", at)
+    last = every.groupBy("run_key").agg(F.max_by(F.struct("run_at", "metrics"), F.struct("__at", "run_at")).alias("r")).select("run_key", "r.*")
     return last.select("run_key", "run_at"), last.select("run_key", F.inline("metrics"))
