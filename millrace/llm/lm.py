@@ -5,25 +5,29 @@ length, down to add-one unigrams. It is held as an automaton: a state for each h
 from each state a failure arc to the state of the history without its first word, whose weight is the mass left over; failure arcs chain down to the root,
 which has an arc for every word. A text is read once from left to right, carrying the state, and the weights met are added up.
 
-The model grows with the corpus, so no task holds all of it. Texts are dealt to blocks of about `BLOCK_BYTES`; each block
+The model grows with the corpus, so no task holds all of it. Texts are dealt to blocks of about `BLOCK_BYTES`: consecutive rows of a partition, packed and
+written once, so equal rows, whatever their number, fill as many blocks as they need. Each block
 sends its distinct n-grams with their counts, packed by hash bucket; a bucket adds up the counts of all blocks and answers
 each block in the same order; a block then builds the automaton of its own n-grams and reads its texts. Every n-gram of
-every training document counts. No bucket or block grows with the corpus, and a frequent n-gram costs one entry a block. A block sends one row for
-each bucket it has something for, so rows grow with blocks times buckets at first and never beyond one for each distinct n-gram of a block.
-
-Words are known by 63-bit hashes, and longer n-grams by 40 bits within their bucket, so their counts are exact but for collisions, whose chance for one n-gram is
-the number of a bucket's divided by 2**40, some millionths at every size of the corpus. Defined cases: null and empty texts are one end token; without training tokens every probability is 1; repeated rows count
-and score as rows of their own; null ids are training rows; an empty table gives an empty result; further columns are not read.
+every training document counts. No bucket or block grows with the corpus, and a frequent n-gram costs one entry a block. Buckets are as many as their memory
+asks for (one for `BUCKET_BYTES` of texts). A block sends one row for each bucket it has something for, so rows grow with blocks times buckets at first and
+never beyond one for each distinct n-gram of a block.
+
+Words are known by 63-bit hashes, and longer n-grams by 40 bits within their bucket, sent as differences of ascending keys, so their counts are exact but for collisions,
+whose chance for one n-gram is the number of a bucket's divided by 2**40, some millionths at every size of the corpus. Defined cases: null and empty texts are one end
+token; without training tokens every probability is 1; repeated rows count and score as rows of their own; null ids are training rows; an empty table gives an empty
+result; further columns are not read.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,8 +37,12 @@ from millrace.llm.common import portions, remainder, stash, text_bytes, word_has
 
 MODULUS, HELD_OUT = 7, 2
 #: Weight of the shorter history's probabilities, for histories of one word, of two words and so on; one more than their number is the order.
-PRIORS = (300.0,)
-BLOCK_BYTES = 4 << 20
+PRIORS = (300.0, 100.0)
+BLOCK_BYTES = 8 << 20
+#: Bytes of texts whose n-grams one bucket adds up, and the least number of buckets.
+BUCKET_BYTES, LEAST_BUCKETS = 32 << 20, 16
+#: Bits by which a bucket knows an n-gram of several words, and what a row counts for in a block beside its text.
+KEY_BITS, ROW_BYTES = 40, 64
 _END, _BEGIN = np.uint64(3), np.uint64(5)
 
 
@@ -76,11 +84,12 @@ class _Block:
     def places(self, buckets: int) -> list[tuple[int, list[np.ndarray]]]:
         """Bucket, and the places of its n-grams of each length in a fixed order; only buckets that have some."""
         split, used = [], []
-        for hashes in self.grams:
-            of = (hashes % np.uint64(buckets)).astype(np.int64)
+        for k, hashes in enumerate(self.grams):
+            # A word's hash is odd.
+            of = ((hashes if k else hashes >> np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(of, kind="stable")
             names, begins = np.unique(of[order], return_index=True)
-            split.append(dict(zip(names.tolist(), np.split(order, begins[1:]), strict=True)))
+            split.append(dict(zip(names.tolist(), np.split(order, begins[1:]) if len(order) else [], strict=True)))
             used.append(names)
         none = np.zeros(0, np.int64)
         return [(b, [part.get(b, none) for part in split]) for b in np.unique(np.concatenate(used)).tolist()]
@@ -95,31 +104,63 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1).T).reshape(-1).view("<u8")
 
 
-def _wide(k: int) -> int:
-    """Bytes by which a bucket knows an n-gram of k + 1 words."""
-    return 8 if k == 0 else 5
+def _keys(grams: np.ndarray, k: int, buckets: int) -> np.ndarray:
+    """What a bucket knows ascending n-grams of k + 1 words by, ascending as well."""
+    if k == 0:
+        return grams
+    return (grams // np.uint64(buckets)) >> np.uint64(max(0, (2**56 // buckets).bit_length() - KEY_BITS))
+
+
+def _deal(block_bytes: int, kind: pa.DataType):
+    """Consecutive rows as packed blocks: block, their ids, marks and text lengths, the texts, and the texts' size."""
 
+    def packed(block: int, rows: list[tuple], size: int) -> pa.RecordBatch:
+        ids, held_out, texts = zip(*rows, strict=True)
+        values = [[block], [list(ids)], [list(held_out)], [[len(t) for t in texts]], [zstandard.ZstdCompressor(level=3).compress(b"".join(texts))], [size]]
+        types = [pa.int64(), pa.list_(kind), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types, strict=True)], ["block", "ids", "held_out", "lengths", "texts", "size"])
 
-def _pack(hashes: np.ndarray, width: int) -> bytes:
-    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, rows, size = TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            for row in zip(batch["doc_id"].to_pylist(), batch["held_out"].to_pylist(), (t.as_py() for t in batch["text"]), strict=True):
+                cost = len(row[2]) + ROW_BYTES
+                if rows and size + cost > block_bytes:
+                    yield packed(block, rows, size)
+                    block, rows, size = block + 1, [], 0
+                rows.append(row)
+                size += cost
+        if rows:
+            yield packed(block, rows, size)
+
+    return run
 
 
-def _unpack(data: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(data) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
-    return out.view("<u8").reshape(-1)
+def _texts(packed: bytes, lengths: list[int]) -> list[bytes]:
+    whole = zstandard.ZstdDecompressor().decompress(packed)
+    cuts = np.cumsum([0, *lengths]).tolist()
+    return [whole[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def _send(buckets: int, order: int):
-    def run(block: pa.Table) -> pa.Table:
-        own = _Block(block["text"].to_pylist(), order)
-        learnt = np.repeat(block["train"].to_numpy(zero_copy_only=False).astype(float), np.diff(own.first))
+    names, types = ["bucket", "block", "sizes", "keys", "counts"], [pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.binary()]
+
+    def messages(row: dict) -> list[tuple]:
+        own = _Block(_texts(row["texts"], row["lengths"]), order)
+        learnt = np.repeat(1.0 - np.array(row["held_out"]), np.diff(own.first))
         counts = [np.bincount(at[at >= 0], learnt[at >= 0], len(grams)).astype("<u8") for grams, at in zip(own.grams, own.at, strict=True)]
-        name, rows = block["block"][0].as_py(), []
+        keys = [_keys(grams, k, buckets) for k, grams in enumerate(own.grams)]
+        sent = []
         for b, places in own.places(buckets):
-            hashes = b"".join(_pack(own.grams[k][p] if k == 0 else own.grams[k][p] // np.uint64(buckets), _wide(k)) for k, p in enumerate(places))
-            rows.append((b, name, [len(p) for p in places], hashes, _packed(np.concatenate([counts[k][p] for k, p in enumerate(places)]))))
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.binary()], strict=True)], ["bucket", "block", "sizes", "hashes", "counts"])
+            steps = [np.diff(keys[k][p], prepend=np.uint64(0)) for k, p in enumerate(places)]
+            sent.append((b, row["block"], [len(p) for p in places], _packed(np.concatenate(steps)), _packed(np.concatenate([counts[k][p] for k, p in enumerate(places)]))))
+        return sent
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                sent = messages(batch.slice(i, 1).to_pylist()[0])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*sent, strict=True), types, strict=True)], names)
 
     return run
 
@@ -127,12 +168,10 @@ def _send(buckets: int, order: int):
 def _answer(sent: pa.Table) -> pa.Table:
     """Totals of each sender's n-grams in the order it sent them; with the first, tokens and distinct words in training."""
     sizes = sent["sizes"].to_pylist()
-    order = len(sizes[0])
-    counts = [np.split(_unpacked(c), np.cumsum(s)[:-1]) for c, s in zip(sent["counts"].to_pylist(), sizes, strict=True)]
-    cuts = [np.cumsum([0, *(n * _wide(k) for k, n in enumerate(s))]) for s in sizes]
+    keys, counts = ([np.split(_unpacked(x.as_py()), np.cumsum(s)[:-1]) for x, s in zip(sent[name], sizes, strict=True)] for name in ("keys", "counts"))
     totals: list[list[np.ndarray]] = [[] for _ in sizes]
-    for k in range(order):
-        mine = [_unpack(h[c[k] : c[k + 1]], _wide(k)) for h, c in zip((x.as_py() for x in sent["hashes"]), cuts, strict=True)]
+    for k in range(len(sizes[0])):
+        mine = [np.cumsum(steps[k], dtype=np.uint64) for steps in keys]
         distinct, at = np.unique(np.concatenate(mine), return_inverse=True)
         total = np.bincount(at, np.concatenate([c[k] for c in counts]), len(distinct)).astype("<u8")
         for out, part in zip(totals, np.split(total[at], np.cumsum([len(m) for m in mine])[:-1]), strict=True):
@@ -173,7 +212,8 @@ def _score(tokens_seen: int, types_seen: int, buckets: int, id_type: pa.DataType
     order = len(priors) + 1
 
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
-        own = _Block(block["text"].to_pylist(), order)
+        ids, held_out = block["ids"].combine_chunks().flatten(), block["held_out"].combine_chunks().flatten()
+        own = _Block(_texts(block["texts"][0].as_py(), block["lengths"][0].as_py()), order)
         got = dict(zip(answers["bucket"].to_pylist(), answers["totals"].to_pylist(), strict=True))
         count = [np.zeros(len(g)) for g in own.grams]
         for b, places in own.places(buckets):
@@ -202,7 +242,7 @@ def _score(tokens_seen: int, types_seen: int, buckets: int, id_type: pa.DataType
         base, known = np.log10(unigram)[own.at[0]], (count[0] > 0)[own.at[0]]
         cut = own.first[:-1]
         return pa.table({
-            "doc_id": block["doc_id"].cast(id_type), "held_out": block["held_out"],
+            "doc_id": ids.cast(id_type), "held_out": held_out,
             "n_tokens": np.diff(own.first), "n_known": np.add.reduceat(known.astype(np.int64), cut),
             "train_tokens": np.full(len(cut), tokens_seen, np.int64), "base_score": np.add.reduceat(base, cut),
             "score": Automaton(arcs, fail).read(own.at, history, own.first),
@@ -217,16 +257,16 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", prior: fl
     `priors` sets the smoothing and with it the order; `prior` is short for that of a bigram model."""
     priors = priors if prior is None else (prior,)
     order = len(priors) + 1
+    kind = docs.schema[doc_id].dataType
     held_out = F.coalesce(remainder(doc_id, MODULUS) == HELD_OUT, F.lit(False))
-    size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first().n or 0
-    blocks = max(1, math.ceil(size / block_bytes))
-    buckets = max(1, blocks // 2)
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_bytes(text).alias("text"), held_out.alias("held_out"))
-    rows = rows.withColumn("train", ~F.col("held_out")).withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-    sent = rows.select("block", "text", "train").groupBy("block").applyInArrow(_send(buckets, order), "bucket int, block long, sizes array<int>, hashes binary, counts binary")
+    layout = T.StructType([T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(kind)), T.StructField("held_out", T.ArrayType(T.BooleanType())), T.StructField("lengths", T.ArrayType(T.IntegerType())), T.StructField("texts", T.BinaryType()), T.StructField("size", T.LongType())])
+    blocks = stash(rows.mapInArrow(_deal(block_bytes, to_arrow_type(kind)), layout).repartition("block"), "blocks")
+    size = blocks.agg(F.sum("size").alias("n")).first().n or 0
+    buckets = max(LEAST_BUCKETS, math.ceil(size / BUCKET_BYTES))
+    sent = blocks.drop("ids", "size").mapInArrow(_send(buckets, order), "bucket int, block long, sizes array<int>, keys binary, counts binary")
     answers = stash(sent.groupBy("bucket").applyInArrow(_answer, "block long, bucket int, totals binary, tokens long, types long"), "ngrams")
     seen = answers.agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types")).first()
-    kind = docs.schema[doc_id].dataType
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType()), *(T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
     run = _score(seen.tokens or 0, seen.types or 0, buckets, to_arrow_type(kind), priors)
-    return rows.select("doc_id", "text", "held_out", "block").groupBy("block").cogroup(answers.select("block", "bucket", "totals").groupBy("block")).applyInArrow(run, schema)
+    return blocks.drop("size").groupBy("block").cogroup(answers.select("block", "bucket", "totals").groupBy("block")).applyInArrow(run, schema)

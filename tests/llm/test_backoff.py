@@ -5,6 +5,8 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from millrace.llm import lm
 
@@ -80,3 +82,30 @@ def test_odd_tables(spark):
     assert lm.score(frame.limit(0)).count() == 0
     alone = spark.createDataFrame([(k, "a b") for k in range(200) if zlib.crc32(str(k).encode()) % 7 == 2], "doc_id long, text string")
     assert {r.score for r in lm.score(alone).collect()} == {0.0}
+
+
+def test_equal_rows_fill_blocks_of_their_own(spark):
+    """Rows that are all alike are dealt as they come: no block takes them all, and each counts."""
+    same = spark.range(100_000).selectExpr("cast(null as long) doc_id", "'the same few words' text")
+    got = lm.score(same, block_bytes=1 << 18)
+    assert got.selectExpr("count(*) n", "min(n_tokens) a", "max(n_tokens) b", "max(train_tokens) t", "count(distinct score) s").first()[:] == (100_000, 5, 5, 500_000, 1)
+    layout = "block long, ids array<long>, held_out array<boolean>, lengths array<int>, texts binary, size long"
+    rows = same.selectExpr("doc_id", "cast(text as binary) text", "false held_out")
+    sizes = [r.n for r in rows.mapInArrow(lm._deal(1 << 18, pa.int64()), layout).selectExpr("size(ids) n").collect()]
+    assert sum(sizes) == 100_000 and max(sizes) * (18 + lm.ROW_BYTES) <= 1 << 18
+
+
+def test_longer_histories_foretell_held_out_texts_better(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    bigrams, trigrams = (lm.score(docs, priors=p).filter("held_out").selectExpr("sum(score) / sum(n_tokens) s", "sum(base_score) / sum(n_tokens) b").first() for p in (lm.PRIORS[:1], lm.PRIORS))
+    assert trigrams.b == pytest.approx(bigrams.b) and trigrams.s > bigrams.s > bigrams.b
+    assert len(lm.PRIORS) == 2
+
+
+def test_keys_are_ascending_and_come_back():
+    grams = np.unique(np.random.default_rng(1).integers(0, 1 << 56, 5000, dtype=np.uint64))
+    for buckets in (1, 16, 1000, 1 << 20):
+        for k in (0, 1):
+            keys = lm._keys(grams, k, buckets)
+            steps = lm._unpacked(lm._packed(np.diff(keys, prepend=np.uint64(0))))
+            assert (np.cumsum(steps, dtype=np.uint64) == keys).all() and (k == 0 or int(keys.max()).bit_length() <= lm.KEY_BITS)
