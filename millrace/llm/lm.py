@@ -38,9 +38,9 @@ from millrace.llm.common import portions, remainder, stash, text_bytes, word_has
 MODULUS, HELD_OUT = 7, 2
 #: Weight of the shorter history's probabilities, for histories of one word, of two words and so on; one more than their number is the order.
 PRIORS = (300.0, 100.0)
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Bytes of texts whose n-grams one bucket adds up, and the least number of buckets.
-BUCKET_BYTES, LEAST_BUCKETS = 32 << 20, 16
+BUCKET_BYTES, LEAST_BUCKETS = 16 << 20, 16
 #: Bits by which a bucket knows an n-gram of several words, and what a row counts for in a block beside its text.
 KEY_BITS, ROW_BYTES = 40, 64
 _END, _BEGIN = np.uint64(3), np.uint64(5)
@@ -143,7 +143,7 @@ def _texts(packed: bytes, lengths: list[int]) -> list[bytes]:
 
 
 def _send(buckets: int, order: int):
-    names, types = ["bucket", "block", "sizes", "keys", "counts"], [pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.binary()]
+    names, types = ["bucket", "block", "keys", "counts"], [pa.int32(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.binary())]
 
     def messages(row: dict) -> list[tuple]:
         own = _Block(_texts(row["texts"], row["lengths"]), order)
@@ -152,8 +152,8 @@ def _send(buckets: int, order: int):
         keys = [_keys(grams, k, buckets) for k, grams in enumerate(own.grams)]
         sent = []
         for b, places in own.places(buckets):
-            steps = [np.diff(keys[k][p], prepend=np.uint64(0)) for k, p in enumerate(places)]
-            sent.append((b, row["block"], [len(p) for p in places], _packed(np.concatenate(steps)), _packed(np.concatenate([counts[k][p] for k, p in enumerate(places)]))))
+            steps = [_packed(np.diff(keys[k][p], prepend=np.uint64(0))) for k, p in enumerate(places)]
+            sent.append((b, row["block"], steps, [_packed(counts[k][p]) for k, p in enumerate(places)]))
         return sent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,20 +167,22 @@ def _send(buckets: int, order: int):
 
 def _answer(sent: pa.Table) -> pa.Table:
     """Totals of each sender's n-grams in the order it sent them; with the first, tokens and distinct words in training."""
-    sizes = sent["sizes"].to_pylist()
-    keys, counts = ([np.split(_unpacked(x.as_py()), np.cumsum(s)[:-1]) for x, s in zip(sent[name], sizes, strict=True)] for name in ("keys", "counts"))
-    totals: list[list[np.ndarray]] = [[] for _ in sizes]
-    for k in range(len(sizes[0])):
-        mine = [np.cumsum(steps[k], dtype=np.uint64) for steps in keys]
+    keys, counts = sent["keys"].to_pylist(), sent["counts"].to_pylist()
+    totals: list[list[bytes]] = [[] for _ in keys]
+    for k in range(len(keys[0])):
+        # One length at a time is unpacked.
+        mine = [np.cumsum(_unpacked(part[k]), dtype=np.uint64) for part in keys]
+        cuts = np.cumsum([len(m) for m in mine])[:-1]
         distinct, at = np.unique(np.concatenate(mine), return_inverse=True)
-        total = np.bincount(at, np.concatenate([c[k] for c in counts]), len(distinct)).astype("<u8")
-        for out, part in zip(totals, np.split(total[at], np.cumsum([len(m) for m in mine])[:-1]), strict=True):
-            out.append(part)
+        del mine
+        total = np.bincount(at, np.concatenate([_unpacked(part[k]) for part in counts]), len(distinct)).astype("<u8")
+        for out, places in zip(totals, np.split(at, cuts), strict=True):
+            out.append(_packed(total[places]))
         if k == 0:
             tokens, types = int(total.sum()), int((total > 0).sum())
-    rest = np.zeros(len(sizes) - 1, np.int64)
+    rest = np.zeros(len(keys) - 1, np.int64)
     return pa.table({
-        "block": sent["block"], "bucket": sent["bucket"], "totals": pa.array([_packed(np.concatenate(t)) for t in totals], pa.binary()),
+        "block": sent["block"], "bucket": sent["bucket"], "totals": pa.array(totals, pa.list_(pa.binary())),
         "tokens": np.concatenate([[tokens], rest]), "types": np.concatenate([[types], rest]),
     })
 
@@ -217,8 +219,8 @@ def _score(tokens_seen: int, types_seen: int, buckets: int, id_type: pa.DataType
         got = dict(zip(answers["bucket"].to_pylist(), answers["totals"].to_pylist(), strict=True))
         count = [np.zeros(len(g)) for g in own.grams]
         for b, places in own.places(buckets):
-            for k, part in enumerate(np.split(_unpacked(got[b]), np.cumsum([len(p) for p in places])[:-1])):
-                count[k][places[k]] = part
+            for k, part in enumerate(got[b]):
+                count[k][places[k]] = _unpacked(part)
         unigram = (count[0] + 1) / (tokens_seen + types_seen + 1)
         begin, end = len(count[0]), int(np.searchsorted(own.grams[0], _END))
         arcs, fail, history = [np.log10(unigram)], [np.zeros(0)], [np.zeros(0, np.int64)]
@@ -264,8 +266,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", prior: fl
     blocks = stash(rows.mapInArrow(_deal(block_bytes, to_arrow_type(kind)), layout).repartition("block"), "blocks")
     size = blocks.agg(F.sum("size").alias("n")).first().n or 0
     buckets = max(LEAST_BUCKETS, math.ceil(size / BUCKET_BYTES))
-    sent = blocks.drop("ids", "size").mapInArrow(_send(buckets, order), "bucket int, block long, sizes array<int>, keys binary, counts binary")
-    answers = stash(sent.groupBy("bucket").applyInArrow(_answer, "block long, bucket int, totals binary, tokens long, types long"), "ngrams")
+    sent = blocks.drop("ids", "size").mapInArrow(_send(buckets, order), "bucket int, block long, keys array<binary>, counts array<binary>")
+    answers = stash(sent.groupBy("bucket").applyInArrow(_answer, "block long, bucket int, totals array<binary>, tokens long, types long"), "ngrams")
     seen = answers.agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types")).first()
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType()), *(T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
     run = _score(seen.tokens or 0, seen.types or 0, buckets, to_arrow_type(kind), priors)
