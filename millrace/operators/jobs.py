@@ -136,13 +136,15 @@ def match_members(requests: DataFrame, members: DataFrame) -> DataFrame:
     by_id = requests.join(known, (requests.payer == known.payer) & (F.col("member_id") == F.col("found"))).groupBy("request_id").agg(F.max(F.when(same, F.col("found"))).alias("by_id"))
     spread = requests.select("request_id", "payer", "birth_date", F.explode(F.array_distinct("names")).alias("name"))
     held = known.select(F.col("payer").alias("__payer"), "found", "born", F.explode(F.array_distinct("called")).alias("__name"))
-    found = spread.join(held, (spread.payer == held.__payer) & (F.col("birth_date") == F.col("born")) & (F.col("name") == F.col("__name")))
-    by_name = found.groupBy("request_id").agg(F.countDistinct("found").alias("candidates"), F.min("found").alias("one"))
+    # Whether a request finds one member alone shows from the least and the greatest of each block, so its members are never paired with it.
+    blocks = held.groupBy("__payer", "born", "__name").agg(F.min("found").alias("least"), F.max("found").alias("greatest"))
+    found = spread.join(blocks, (spread.payer == blocks.__payer) & (F.col("birth_date") == F.col("born")) & (F.col("name") == F.col("__name")))
+    by_name = found.groupBy("request_id").agg(F.min("least").alias("one"), F.max("greatest").alias("last"))
     payers = members.select(F.col("payer").alias("__known")).distinct()
     joined = requests.join(by_id, "request_id", "left").join(by_name, "request_id", "left").join(payers, F.col("payer") == F.col("__known"), "left")
     reason = (
-        F.when(F.col("__known").isNull(), "unknown payer").when(F.col("by_id").isNotNull(), "member id").when(F.col("candidates") == 1, "demographics")
-        .when(F.col("candidates") > 1, "ambiguous").otherwise("no match")
+        F.when(F.col("__known").isNull(), "unknown payer").when(F.col("by_id").isNotNull(), "member id").when(F.col("one") == F.col("last"), "demographics")
+        .when(F.col("one") < F.col("last"), "ambiguous").otherwise("no match")
     )
     return joined.select("request_id", F.when(reason == "member id", F.col("by_id")).when(reason == "demographics", F.col("one")).alias("member_id"), reason.alias("reason"))
 
