@@ -82,18 +82,26 @@ def versioned_lookup(codes: DataFrame, reference: DataFrame, on: str, at: str, v
 #: Rows of a block that meet in one task at most; larger blocks are cut into parts.
 TILE_ROWS = 2048
 
+#: Pairs that one task makes, about. Pairs grow faster than the rows they are made of, so the number of tasks is set by them.
+TASK_PAIRS = 20_000_000
+
 
 def _tiled(left: DataFrame, right: DataFrame | None, keys: Sequence[str], tile_rows: int) -> DataFrame:
     """(l, r) of the pairs of structs whose keys agree: each pair of `left` with `right`, or, without it, each pair of `left` with different ids, smaller id first.
 
     left, right: the keys, and a struct `row` with an `id`. A block of more than `tile_rows` rows on a side is cut into parts by a hash of the id; each pair of
-    parts (for a table with itself, each pair once) is a tile of its own, so no task holds a block, however large, and no pair is made twice."""
+    parts (for a table with itself, each pair once) is a tile of its own, so no task holds a block, however large, and no pair is made twice. The pairs are counted
+    first, and blocks or tiles dealt to so many tasks that each makes about `TASK_PAIRS`."""
     one = right is None
     sides = [left] if one else [left, right]
     sides = [df.dropna(subset=list(keys)).filter("row.id IS NOT NULL") for df in sides]
     sizes = [df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")) for df in sides]
-    if all(n.filter(F.col("n") > tile_rows).isEmpty() for n in sizes):
-        met = sides[0].withColumnRenamed("row", "l").join(sides[-1].withColumnRenamed("row", "r"), list(keys))
+    blocks = sizes[0].withColumn("m", F.col("n")) if one else sizes[0].join(sizes[1].withColumnRenamed("n", "m"), list(keys))
+    found = blocks.agg(F.max(F.greatest("n", "m")).alias("rows"), F.sum(F.col("n").cast("double") * F.col("m")).alias("pairs")).first()
+    tasks = int((found.pairs or 0) / TASK_PAIRS) + 1
+    deal = lambda df, *by: df.repartition(tasks, *by) if tasks > 1 else df
+    if (found.rows or 0) <= tile_rows:
+        met = deal(sides[0].withColumnRenamed("row", "l"), *keys).join(deal(sides[-1].withColumnRenamed("row", "r"), *keys), list(keys))
         return (met.filter("l.id < r.id") if one else met).select("l", "r")
     parts = lambda df, k: df.select(*keys, F.ceil(F.col("n") / tile_rows).cast("int").alias(f"parts_{k}"))
     cut = parts(sizes[0].filter("n > 1"), 0).withColumn("parts_1", F.col("parts_0")) if one else parts(sizes[0], 0).join(parts(sizes[1], 1), list(keys))
@@ -106,7 +114,7 @@ def _tiled(left: DataFrame, right: DataFrame | None, keys: Sequence[str], tile_r
         meets = (F.sequence(own, other) if k == 0 else F.sequence(F.lit(0), own)) if one else F.sequence(F.lit(0), other)
         mine, theirs = ("i", "j") if k == 0 else ("j", "i")
         sent.append(dealt.withColumn(mine, own).withColumn(theirs, F.explode(meets)).select(*keys, "i", "j", F.col("row").alias("lr"[k])))
-    met = sent[0].join(sent[1], [*keys, "i", "j"])
+    met = deal(sent[0], *keys, "i", "j").join(deal(sent[1], *keys, "i", "j"), [*keys, "i", "j"])
     if not one:
         return met.select("l", "r")
     met = met.filter((F.col("i") < F.col("j")) | (F.col("l.id") < F.col("r.id")))

@@ -141,3 +141,14 @@ def test_latest_observation_at_ties(spark):
     for order in (rows, rows[::-1]):
         df = spark.createDataFrame(order, "slot_name string, observed_at timestamp, retained_bytes long, wal_status string").coalesce(1)
         assert {r.slot_name: r.problems for r in changes.slot_health(df).collect()} == {"s": [], "t": ["lost"]}
+
+
+def test_pairs_of_many_rows_are_dealt_to_many_tasks(spark, monkeypatch):
+    """As many tasks as pairs need, with small inputs too, which would else be put together into few."""
+    df = spark.range(600).selectExpr("id", "id % 20 AS a").select("id", "a")
+    plain = {tuple(r) for r in relational.candidate_pairs(df, "id", [["a"]]).collect()}
+    monkeypatch.setattr(relational, "TASK_PAIRS", 1_000)
+    for tile_rows in (2048, 7):
+        dealt = relational.candidate_pairs(df, "id", [["a"]], tile_rows=tile_rows)
+        assert {tuple(r) for r in dealt.collect()} == plain
+        assert dealt.rdd.getNumPartitions() >= 18
