@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+import sys
+import unicodedata
+from collections.abc import Iterator, Mapping, Sequence
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -74,14 +78,38 @@ def norm_zip(c: Column) -> Column:
     return F.nullif(F.substring(F.regexp_replace(c, "[^0-9]", ""), 1, 5), F.lit(""))
 
 
+def _letters(text: str) -> str:
+    return re.sub("[^a-z]", "", unicodedata.normalize("NFKD", text).lower())
+
+
 @pandas_udf(T.StringType())
-def _plain_letters(texts: pd.Series) -> pd.Series:
-    return texts.str.normalize("NFKD").str.lower().str.replace("[^a-z]", "", regex=True)
+def _plain_letters(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Text by text, so that only one is held decomposed."""
+    for texts in batches:
+        yield texts.map(_letters, na_action="ignore")
+
+
+@cache
+def _plain() -> tuple[str, str, str]:
+    """(characters that stand for one letter, their letters, characters that stand for several), as each character is decomposed by itself."""
+    single, letters, several = [], [], []
+    for k in (*range(65, 91), *range(128, 0xD800), *range(0xE000, sys.maxunicode + 1)):
+        found = _letters(chr(k))
+        if len(found) == 1:
+            single.append(chr(k))
+            letters.append(found)
+        elif found:
+            several.append(chr(k))
+    return "".join(single), "".join(letters), "".join(several)
 
 
 def norm_ascii(c: Column) -> Column:
-    """Lower-case letters without accents or anything else: characters are decomposed (NFKD) and what is not a letter of a-z is dropped."""
-    return _plain_letters(c)
+    """Lower-case letters without accents or anything else: characters are decomposed (NFKD) and what is not a letter of a-z is dropped.
+
+    Characters are exchanged one for one; only texts with one that stands for several letters (a ligature, a unit) go to Python."""
+    single, letters, several = _plain()
+    rare = c.rlike(f"[{several}]")
+    return F.coalesce(_plain_letters(F.when(rare, c)), F.regexp_replace(F.translate(c, single, letters), "[^a-z]", ""))
 
 
 def full_match(c: Column, pattern: str) -> Column:
