@@ -191,19 +191,36 @@ def salted_join(many: DataFrame, one: DataFrame, key: str | Sequence[str], by: s
     return dealt.join(one.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))), [*keys, "__part"]).drop("__part")
 
 
+#: Rows of one key beyond which a join deals them to several shares.
+HOT_ROWS = 100_000
+
+
+def hot_join(many: DataFrame, one: DataFrame, key: str, by: str, count: str, hot_rows: int | None = None) -> DataFrame:
+    """Inner join of `many` with `one`, one row a key, which says in `count` (dropped) about how many rows of `many` have it. Only keys of more than `hot_rows` are dealt to
+    shares by another column, as many as their rows need; these keys, at most one for so many rows, go to every task, and all other rows are sent once."""
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    shares = F.ceil(F.col(count) / hot_rows).cast("int")
+    hot = settle(one.filter(F.col(count) > hot_rows).select(key, shares.alias("__shares")))
+    if hot.isEmpty():
+        return many.join(one.drop(count), key)
+    dealt = many.join(F.broadcast(hot), key, "left").withColumn("__part", F.coalesce(F.pmod(F.xxhash64(by), F.col("__shares")), F.lit(0)).cast("int")).drop("__shares")
+    sent = one.withColumn("__part", F.explode(F.sequence(F.lit(0), F.greatest(shares, F.lit(1)) - 1))).drop(count)
+    return dealt.join(sent, [key, "__part"]).drop("__part")
+
+
 def component_labels(edges: DataFrame) -> DataFrame:
     """(node, component) of the nodes of edges (a, b): the smallest node reachable.
 
     Alternating star steps: every node's larger neighbours, then its smaller ones, are hung on its smallest neighbour. Each step is
     written to the shared folder, and their number grows with the logarithm of the longest path. A node with very many
-    neighbours is found by a pre-aggregated minimum, which is then brought to its edges in shares."""
+    neighbours is found by a pre-aggregated minimum, which is then brought to its edges in shares; all others are sent once."""
     edges = settle(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        up = salted_join(both.filter("b > a"), lowest, "a", "b").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = up.groupBy("a").agg(F.min("b").alias("m"))
-        down = salted_join(up, least, "a", "b").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+        lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count_if(F.col("b") > F.col("a")).alias("n")).filter("n > 0")
+        up = settle(hot_join(both.filter("b > a"), lowest, "a", "b", "n").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        least = up.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+        down = hot_join(up, least, "a", "b", "n").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         edges = settle(down.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         centres = edges.select(F.col("b").alias("a")).distinct()
         if edges.join(centres, "a", "left_semi").isEmpty() and edges.groupBy("a").count().filter("count > 1").isEmpty():
@@ -214,7 +231,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component, size) of the nodes of edges (a, b): the smallest node reachable, and how many nodes reach it."""
     named = component_labels(edges)
     sizes = named.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    return salted_join(named, sizes, "component", "node").select("node", "component", "size")
+    return hot_join(named, sizes.withColumn("n", F.col("size")), "component", "node", "n").select("node", "component", "size")
 
 
 def reference_closure(focal: DataFrame, edges: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
