@@ -174,7 +174,7 @@ def iso_instant(c: Column) -> Column:
 def ordered_list(c: Column, order: Column, when: Column | None = None) -> Column:
     """Aggregate: values of a group in order (nulls and rows that `when` leaves out are skipped)."""
     pair = F.struct(order.alias("o"), c.alias("v"))
-    return F.transform(F.array_sort(F.collect_list(pair if when is None else F.when(when, pair))), lambda x: x.v)
+    return F.transform(F.sort_array(F.collect_list(pair if when is None else F.when(when, pair))), lambda x: x.v)
 
 
 def precision_recall(hits: Column, predicted: Column, actual: Column, digits: int = 4) -> tuple[Column, Column]:

@@ -102,16 +102,19 @@ class Expr:
     run: Focus
     #: Names of members, where the expression is nothing but a chain of them from the focus.
     chain: tuple[str, ...] | None = None
+    #: Names and places, where it is nothing but members and, right after a member, one of its items.
+    route: tuple[str | int, ...] | None = None
 
     def get(self, name: str) -> Expr:
         chain = None if self.chain is None else (*self.chain, name)
+        route = None if self.route is None else (*self.route, name)
 
         def items(c: Column | Focused) -> Column:
             if chain is not None and isinstance(c, Focused):
                 return _below(c.member(chain[0]), chain[1:])
             return F.flatten(F.transform(self.run(c), lambda v: bound(F.try_variant_get(v, f"$.{name}", "variant"), _items)))
 
-        return Expr(items, chain)
+        return Expr(items, chain, route)
 
     def path(self, dotted: str) -> Expr:
         out = self
@@ -120,7 +123,7 @@ class Expr:
         return out
 
     def index(self, k: int) -> Expr:
-        return Expr(lambda c: F.slice(self.run(c), k + 1, 1))
+        return Expr(lambda c: F.slice(self.run(c), k + 1, 1), route=(*self.route, k) if self.route and isinstance(self.route[-1], str) else None)
 
     def first(self) -> Expr:
         return self.index(0)
@@ -240,7 +243,7 @@ def constant(value: str | int | float | bool) -> Expr:
 
 
 def this() -> Expr:
-    return Expr(lambda c: c.items if isinstance(c, Focused) else c, ())
+    return Expr(lambda c: c.items if isinstance(c, Focused) else c, (), ())
 
 
 def path(dotted: str) -> Expr:
@@ -266,7 +269,18 @@ class Col:
         values = self.expr.run(focus)
         if self.collection:
             return F.transform(values, lambda v: v.cast(self.type)).alias(self.name)
-        return bound(values, lambda v: F.when(F.size(v) > 1, error).otherwise(single(v).cast(self.type))).alias(self.name)
+        value = bound(values, lambda v: F.when(F.size(v) > 1, error).otherwise(single(v).cast(self.type)))
+        straight = self._straight(focus)
+        return (value if straight is None else F.coalesce(straight, value)).alias(self.name)
+
+    def _straight(self, focus: Column | Focused) -> Column | None:
+        """The value at the end of members and places taken as they stand, without lists: null where a member is an array that no place is taken of, or
+        no array though one is, or where the value is missing or may be an array."""
+        route = self.expr.route if isinstance(self.expr, Expr) and isinstance(focus, Focused) else None
+        if not route or any(isinstance(x, str) and not re.fullmatch("[A-Za-z_][A-Za-z0-9_]*", x) for x in route):
+            return None
+        v = F.try_variant_get(focus.member(route[0]), "$" + "".join(f".{x}" if isinstance(x, str) else f"[{x}]" for x in route[1:]), self.type)
+        return F.when(~v.startswith("["), v) if self.type == "string" else v
 
 
 @dataclass(frozen=True)
@@ -403,14 +417,20 @@ def flatten_view(df: DataFrame, view: View, keep: Sequence[str] = (), resource:
                 done.append(c.name)
             frame = apply(frame, part.select, inner, depth * 10 + k + 1)
             if part.union_all:
-                # Each branch's items are tagged and taken apart in one pass.
-                tagged = [_tagged((this() if b.for_each is None else b.for_each).run(focused(inner)), n) for n, b in enumerate(part.union_all)]
+                # Each branch's items are tagged and taken apart in one pass; where all are items of a member, they are read into structs of what is taken of them.
                 name = f"__union_{depth}_{k}"
+                names, whole = _taken([Select(b.columns) for b in part.union_all])
+                plain = not whole and all(b.for_each is not None and b.for_each.chain is not None and len(b.for_each.chain) == 1 for b in part.union_all)
+                if plain:
+                    tagged = [_tagged(_elements(focused(inner).member(b.for_each.chain[0]), _pruned(names or ["id"])), n) for n, b in enumerate(part.union_all)]
+                else:
+                    tagged = [_tagged((this() if b.for_each is None else b.for_each).run(focused(inner)), n) for n, b in enumerate(part.union_all)]
+                item = Focused(_none, lambda member, name=name: F.col(f"{name}.v.`{member}`")) if plain else F.array(F.col(f"{name}.v"))
                 frame = frame.select(*frame.columns, F.explode(F.concat(*tagged)).alias(name))
                 for place, c in enumerate(part.union_all[0].columns):
                     value = F.lit(None)
                     for n, b in enumerate(part.union_all):
-                        value = F.when(F.col(f"{name}.n") == n, b.columns[place].column(F.array(F.col(f"{name}.v")))).otherwise(value)
+                        value = F.when(F.col(f"{name}.n") == n, b.columns[place].column(item)).otherwise(value)
                     frame = frame.withColumn(c.name, value)
                     done.append(c.name)
         return frame
