@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import ordered_list
 from millrace.operators.relational import stack
-from millrace.operators.resources import coded, reference, text_narrative, unless_empty
+from millrace.operators.resources import coded, reference, text_narrative
 
 # Public code systems and the codes taken from them.
 C4BB = "http://hl7.org/fhir/us/carin-bb/CodeSystem/"
@@ -93,7 +92,7 @@ def benefit_documents(claims: DataFrame, lines: DataFrame, pharmacy: DataFrame)
     kind, institutional = F.col("type"), F.col("type").isin("inpatient", "outpatient")
     professional, drugs = kind == "professional", kind == "pharmacy"
     line = F.struct("line", "procedure", "drug", "diagnosis", "revenue", "units", "charged", "paid")
-    gathered = lines.groupBy("id").agg(ordered_list(line, line).alias("__lines"))
+    gathered = lines.groupBy("id").agg(F.sort_array(F.collect_list(line)).alias("__lines"))
 
     def item(x: Column) -> Column:
         amounts = F.array(_adjudicated((ADJUDICATION, "submitted"), money(x.charged)), _adjudicated((ADJUDICATION, "benefit"), money(F.coalesce(x.paid, F.lit(0.0)))))
@@ -114,7 +113,7 @@ def benefit_documents(claims: DataFrame, lines: DataFrame, pharmacy: DataFrame)
     told = F.concat_ws(", ", F.concat(F.initcap("type"), F.lit(" claim "), F.col("id").cast("string")), F.concat(F.lit("member "), F.col("member_id").cast("string")), F.concat(F.lit("charged "), F.format_number("charged", 2), F.lit(" USD")), F.concat(F.lit("paid "), F.format_number("paid", 2), F.lit(" USD")))
     parts = made.select(
         F.col("id").cast("string").alias("id"), F.col("__type").alias("type"), "sub_type", "system", F.col("__status").alias("status"), "outcome", "member_id", "provider", "served_from", "served_to", "created", "updated", "coverage_id", "charged", "paid",
-        unless_empty(F.transform("__lines", item)).alias("items"), unless_empty(F.transform("__lines", diagnosis)).alias("diagnoses"), support.alias("support"), F.when(~professional, F.array(_payment_status(F.col("network")))).alias("header"), told.alias("told"),
+        F.transform("__lines", item).alias("items"), F.transform("__lines", diagnosis).alias("diagnoses"), support.alias("support"), F.when(~professional, F.array(_payment_status(F.col("network")))).alias("header"), told.alias("told"),
     )
     medical = parts.select("id", _document(F.col("items"), F.col("diagnoses"), F.col("support"), F.col("header"), F.col("charged"), F.col("paid"), F.col("told")).alias("document"))
 
@@ -152,7 +151,7 @@ def patched(value: Column, kind: T.DataType, drop: Sequence[str] = (), replace:
             inside = any(p.startswith(f"{path}.") for p in wanted)
             items = F.filter(v, keep[path]) if path in keep else v
             items = F.transform(items, lambda x: struct(x, t.elementType, path)) if inside and isinstance(t.elementType, T.StructType) else items
-            return F.when(F.size(items) > 0, items) if path in keep else items
+            return F.when(F.exists(v, keep[path]), items) if path in keep else items
         return struct(v, t, path) if isinstance(t, T.StructType) else v
 
     def struct(v: Column, t: T.StructType, path: str) -> Column:

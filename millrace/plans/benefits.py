@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators import benefits
 from millrace.plans.registry import query
@@ -42,9 +45,28 @@ def _code(c: Column) -> Column:
     return c["coding"][0]["code"]
 
 
+#: Members that the columns are made of; the others are passed over as the JSON is read.
+_TOLD = (
+    "id", "meta.profile", "meta.lastUpdated", "identifier.system", "status", "type.coding.code", "subType.coding.code", "patient.reference", "billablePeriod", "created", "provider.reference", "outcome", "insurance.coverage.reference",
+    "supportingInfo.category.coding.code", "supportingInfo.valueQuantity", "supportingInfo.code.coding.code", "supportingInfo.timingPeriod", "adjudication.category.coding.code", "adjudication.reason.coding.code", "adjudication.amount.value",
+    "item.sequence", "item.productOrService.coding.code", "item.revenue.coding.code", "item.locationCodeableConcept.coding.code", "item.servicedDate", "item.quantity", "item.net.value", "item.adjudication.category.coding.code",
+    "item.adjudication.reason.coding.code", "item.adjudication.amount.value", "diagnosis.sequence", "diagnosis.diagnosisCodeableConcept.coding.code", "diagnosis.type.coding.code", "text.div", "total.amount.value", "payment.amount.value",
+)
+
+
+def _only(kind: T.DataType, paths: Sequence[str]) -> T.DataType:
+    """A nested type with only the members that paths lead to; lists are gone through."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_only(kind.elementType, paths))
+    if not isinstance(kind, T.StructType) or "" in paths:
+        return kind
+    below = {f: [p.partition(".")[2] for p in paths if p.partition(".")[0] == f.name] for f in kind.fields}
+    return T.StructType([T.StructField(f.name, _only(f.dataType, under)) for f, under in below.items() if under])
+
+
 def _told(documents: DataFrame, amounts: bool) -> DataFrame:
     """Every part of the documents as columns, read back from their JSON."""
-    schema = documents.schema["document"].dataType
+    schema = _only(documents.schema["document"].dataType, _TOLD)
     d = F.col("d")
     dash = lambda c: F.coalesce(c.cast("string"), F.lit("-"))
     adjudications = lambda a: F.array_join(F.transform(a, lambda x: F.concat(_code(x["category"]), F.lit("="), F.coalesce(_mills(x["amount"]["value"]) if amounts else F.lit(None).cast("string"), _code(x["reason"])))), "+")
