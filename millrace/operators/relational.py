@@ -145,6 +145,19 @@ def candidate_pairs(people: DataFrame, id_col: str, rules: Sequence[Sequence[str
     return stack(*parts)
 
 
+def agreeing_pairs(pairs: DataFrame, people: DataFrame, id_col: str, rules: Sequence[Sequence[str]], right: DataFrame | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """What `candidate_pairs` gives of the given pairs (id_l, id_r) alone. People meet only the pairs that name them, so no other pair is made."""
+    columns = sorted({*carry, *(c for rule in rules for c in rule)})
+    sides = [df.select(F.col(id_col).alias(f"id_{s}"), F.struct(*columns).alias(s)) for s, df in (("l", people), ("r", people if right is None else right))]
+    met = pairs.select("id_l", "id_r").distinct().join(sides[0], "id_l").join(sides[1], "id_r")
+    if right is None:
+        met = met.filter("id_l < id_r")
+    agree = (reduce(lambda x, y: x & y, (F.col(f"l.{c}") == F.col(f"r.{c}") for c in rule)) for rule in rules)
+    first = F.coalesce(*(F.when(both, F.lit(k)) for k, both in enumerate(agree)))
+    carried = [F.col(f"{s}.{c}").alias(f"{c}_{s}") for c in carry for s in "lr"]
+    return met.withColumn("rule", first).filter("rule IS NOT NULL").select("id_l", "id_r", "rule", *carried)
+
+
 def blocking_report(people: DataFrame, id_col: str, rules: Sequence[Sequence[str]]) -> DataFrame:
     """rule, marginal and cumulative number of pairs, and all possible pairs, of `candidate_pairs` over one table with unique ids, without making a pair.
 
