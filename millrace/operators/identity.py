@@ -244,7 +244,8 @@ def score(pairs: DataFrame, comparisons: Sequence[Comparison], m: dict, u: dict,
             step = F.when(gamma == 0, F.log2(F.lit(m[c.name][0]) / F.coalesce(frequency[c.name], F.lit(u[c.name][0])))).otherwise(step)
         weight = weight + step
     scored = pairs.withColumn("match_weight", weight).withColumn("match_probability", 1 / (1 + F.pow(F.lit(2.0), -F.col("match_weight"))))
-    return scored.filter(F.col("match_probability") >= threshold)
+    # Every pair reaches nought: not asked, as each pair would be weighed once more to answer.
+    return scored.filter(F.col("match_probability") >= threshold) if threshold > 0 else scored
 
 
 # --- people of several sources

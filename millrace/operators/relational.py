@@ -133,14 +133,16 @@ def candidate_pairs(people: DataFrame, id_col: str, rules: Sequence[Sequence[str
 
     The columns named in `carry` come along from both sides (`x_l`, `x_r`), so that pairs are compared where they are made and never shuffled."""
     columns = sorted({c for rule in rules for c in rule})
-    row = F.struct(F.col(id_col).alias("id"), *columns, *(F.col(c).alias(f"carried_{k}") for k, c in enumerate(carry)))
+    # What a rule compares is sent once, though it is carried too.
+    sent = {c: c if c in columns else f"carried_{k}" for k, c in enumerate(carry)}
+    row = F.struct(F.col(id_col).alias("id"), *columns, *(F.col(c).alias(name) for c, name in sent.items() if c not in columns))
     parts = []
     for k, rule in enumerate(rules):
         found = _tiled(people.select(*rule, row.alias("row")), None if right is None else right.select(*rule, row.alias("row")), rule, tile_rows)
         for earlier in rules[:k]:
             agree = reduce(lambda x, y: x & y, (F.col(f"l.{c}") == F.col(f"r.{c}") for c in earlier))
             found = found.filter(~F.coalesce(agree, F.lit(False)))
-        carried = [F.col(f"{s}.carried_{n}").alias(f"{c}_{s}") for n, c in enumerate(carry) for s in "lr"]
+        carried = [F.col(f"{s}.{name}").alias(f"{c}_{s}") for c, name in sent.items() for s in "lr"]
         parts.append(found.select(F.col("l.id").alias("id_l"), F.col("r.id").alias("id_r"), F.lit(k).alias("rule"), *carried))
     return stack(*parts)
 
