@@ -200,8 +200,11 @@ def lookup_roles(df: DataFrame, dim: DataFrame, dim_key: str, roles: dict[str, s
 
 
 def salted_join(many: DataFrame, one: DataFrame, key: str | Sequence[str], by: str, parts: int = 16) -> DataFrame:
-    """Inner join on a key that may be hot in `many`: its rows are dealt to `parts` shares by another column, and the few rows of `one` go to each."""
-    dealt = many.withColumn("__part", F.pmod(F.xxhash64(by), F.lit(parts)).cast("int"))
+    """Inner join on a key that may be hot in `many`: its rows are dealt to `parts` shares by another column, and the few rows of `one` go to each.
+
+    Neither side is broadcast: Spark takes a side's size from its compressed files and sees nothing of the copies made here, so a side that grows with the input could
+    go through the driver."""
+    dealt = many.withColumn("__part", F.pmod(F.xxhash64(by), F.lit(parts)).cast("int")).hint("merge")
     keys = [key] if isinstance(key, str) else list(key)
     return dealt.join(one.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))), [*keys, "__part"]).drop("__part")
 
